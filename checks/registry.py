@@ -18,7 +18,10 @@ class Tables:
         self.location = location
 
     def __getattr__(self, name: str) -> DataFrame:
-        return load(self.spark, self.location, name)
+        # Opening a table reads its footer, so each is opened once.
+        table = load(self.spark, self.location, name)
+        setattr(self, name, table)
+        return table
 
 
 @dataclass(frozen=True)

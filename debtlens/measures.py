@@ -29,6 +29,8 @@ from debtlens.functions import (
     unlike,
 )
 from debtlens.operators import (
+    fits,
+    frequent_keys,
     lookup,
     one_per_key,
     pick_one,
@@ -249,7 +251,12 @@ def preferred_contract(contract: DataFrame, bank: DataFrame) -> DataFrame:
     """One contract per person with its bank's name: a known bank first, then any bank code,
     then the newest contract."""
     banks = one_per_key(bank, "bank_code", ["bank_name_th"]).withColumn("bank_known", F.lit(True))
-    coded = lookup(contract, banks, "stu_bank_code", "bank_code", ["bank_known", "bank_name_th"])
+    columns = ["bank_known", "bank_name_th"]
+    if fits(bank):
+        coded = lookup(contract, F.broadcast(banks), "stu_bank_code", "bank_code", columns)
+    else:
+        hot = frequent_keys(contract, "stu_bank_code")
+        coded = lookup(contract, banks, "stu_bank_code", "bank_code", columns, hot)
     return pick_one(
         coded,
         ["cid"],

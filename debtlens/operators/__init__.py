@@ -5,13 +5,15 @@ from debtlens.operators.joins import (
     chain_left,
     exists_any,
     in_scope,
+    left_join_many,
     left_join_where,
     lookup,
 )
 from debtlens.operators.pick import count_over, distinct_keys, one_per_key, pick_one, total_over
 from debtlens.operators.rows import multiplicity, repeat_rows
-from debtlens.operators.scope import Scope, driver_list
+from debtlens.operators.scope import Scope, driver_list, fits
 from debtlens.operators.shape import snapshot, with_labels
+from debtlens.operators.skew import frequent_keys, salted_left_join
 from debtlens.operators.versions import picked_version_sums, prefer_version, split_by_version
 
 __all__ = [
@@ -22,7 +24,10 @@ __all__ = [
     "distinct_keys",
     "driver_list",
     "exists_any",
+    "fits",
+    "frequent_keys",
     "in_scope",
+    "left_join_many",
     "left_join_where",
     "lookup",
     "multiplicity",
@@ -31,6 +36,7 @@ __all__ = [
     "picked_version_sums",
     "prefer_version",
     "repeat_rows",
+    "salted_left_join",
     "snapshot",
     "split_by_version",
     "total_over",

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from debtlens.operators.skew import salted_left_join
+
 
 def in_scope(df: DataFrame, scope: DataFrame, key: str, scope_key: str | None = None) -> DataFrame:
     """Rows of ``df`` whose key occurs in ``scope``; multiplicity of ``df`` is kept."""
@@ -30,21 +32,51 @@ def left_join_where(
     return left.join(right.where(condition), on, "left")
 
 
-def lookup(df: DataFrame, dim: DataFrame, key: str, dim_key: str, columns: Sequence[str]) -> DataFrame:
-    """``df`` plus ``columns`` of the matching ``dim`` row (at most one per ``dim_key``)."""
+def left_join_many(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Left join to a side that may hold very many rows of one key.
+
+    An outer join cannot split the rows of a key on its optional side over tasks. An inner
+    join can, under adaptive execution, so matched and unmatched rows are made separately.
+    """
+    found = right.select(key).distinct()
+    unmatched = left.join(found, key, "left_anti")
+    return left.join(right, key).unionByName(unmatched, allowMissingColumns=True)
+
+
+def lookup(
+    df: DataFrame,
+    dim: DataFrame,
+    key: str,
+    dim_key: str,
+    columns: Sequence[str],
+    hot: DataFrame | None = None,
+) -> DataFrame:
+    """``df`` plus ``columns`` of the matching ``dim`` row (at most one per ``dim_key``).
+
+    Give ``hot``, the :func:`frequent_keys` of ``df``, when ``df`` is large and its key is
+    not: placeholder persons, one dominant bank, NULL.
+    """
     side = dim.where(F.col(dim_key).isNotNull()).select(F.col(dim_key).alias("_dim_key"), *columns)
-    return df.join(side, df[key] == side["_dim_key"], "left").drop("_dim_key")
+    if hot is None:
+        joined = df.join(side, df[key] == side["_dim_key"], "left")
+    else:
+        joined = salted_left_join(df, side, key, "_dim_key", hot)
+    return joined.drop("_dim_key")
+
+
+Hop = tuple[DataFrame, str, str, Sequence[str]]
 
 
 def chain_left(
-    base: DataFrame, hops: Iterable[tuple[DataFrame, str, str, Sequence[str]]]
+    base: DataFrame, hops: Iterable[Hop], hot: Mapping[str, DataFrame] | None = None
 ) -> DataFrame:
     """Successive lookups ``(dim, key, dim_key, columns)``, each able to use the previous ones.
 
-    Where a hop finds nothing, the hops that depend on it find nothing either.
+    Where a hop finds nothing, the hops that depend on it find nothing either. ``hot`` maps
+    a key to its frequent values.
     """
     for dim, key, dim_key, columns in hops:
-        base = lookup(base, dim, key, dim_key, columns)
+        base = lookup(base, dim, key, dim_key, columns, (hot or {}).get(key))
     return base
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from debtlens.functions.aggregates import count_where
 from debtlens.functions.scalars import as_column
+from debtlens.operators.skew import frequent_keys, salted_left_join
 
 
 def pick_one(
@@ -51,13 +52,13 @@ def distinct_keys(df: DataFrame, key: str, predicate: Column | None = None) -> D
 def total_over(df: DataFrame, key: str, total: Column, name: str) -> DataFrame:
     """``df`` with ``total`` aggregated over all rows of each key, on every row.
 
-    The value of an unordered window aggregate, NULL keys forming one group, without
-    gathering the rows of a key in one task: totals combine on the map side and come back
-    through a join on the key. The right side has one row per key, so adaptive execution
-    can split the left rows of a hot key over several tasks.
+    The value of an unordered window aggregate, NULL keys forming one group. A window would
+    gather the rows of a key in one task; here totals combine on the map side and return
+    through a join that spreads the rows of frequent keys.
     """
     totals = df.groupBy(F.col(key).alias("_total_key")).agg(total.alias(name))
-    return df.join(totals, F.col(key).eqNullSafe(F.col("_total_key")), "left").drop("_total_key")
+    joined = salted_left_join(df, totals, key, "_total_key", frequent_keys(df, key))
+    return joined.drop("_total_key")
 
 
 def count_over(df: DataFrame, key: str, predicate: Column, name: str) -> DataFrame:

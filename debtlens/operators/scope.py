@@ -9,8 +9,9 @@ cheap depends only on the length of the list:
 * a long list is not broadcast. Facts are reduced first (partial results per map task, so
   a hot key is never gathered raw), and the list meets them in a co-partitioned join.
 
-``Scope.of`` counts the list once to choose. Nothing else in the package forces a
-broadcast; the remaining joins leave the choice to Spark's own size check.
+``Scope.of`` counts the list once to choose. Every broadcast the package asks for is bounded
+by such a count or by a limit; the remaining joins leave the choice to Spark's own size
+check.
 """
 
 from __future__ import annotations
@@ -25,6 +26,11 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_KEYS = 500_000
 
 
+def fits(df: DataFrame, max_rows: int = MAX_BROADCAST_KEYS) -> bool:
+    """Whether ``df`` is short enough to broadcast, by counting it (a footer read for Parquet)."""
+    return df.count() <= max_rows
+
+
 def driver_list(
     df: DataFrame, columns: Sequence[str], accounts: Sequence[str] | None = None, key: str = "acc_no"
 ) -> DataFrame:
@@ -43,7 +49,7 @@ class Scope:
 
     @classmethod
     def of(cls, rows: DataFrame, key: str = "acc_no", max_keys: int = MAX_BROADCAST_KEYS) -> Scope:
-        return cls(rows, key, rows.count() <= max_keys)
+        return cls(rows, key, fits(rows, max_keys))
 
     def by(self, key: str) -> Scope:
         """The same list through another of its key columns."""

@@ -15,6 +15,8 @@ from debtlens.operators import (
     assemble,
     distinct_keys,
     driver_list,
+    fits,
+    frequent_keys,
     lookup,
     multiplicity,
     repeat_rows,
@@ -49,18 +51,21 @@ def _matches(df: DataFrame, name: str) -> DataFrame:
 
 
 def _contract_banks(contract: DataFrame, bank: DataFrame) -> DataFrame:
-    """Per person: joined contract rows with a known bank, and contract rows without."""
-    banks = bank.where(F.col("bank_code").isNotNull()).groupBy("bank_code")
-    coded = lookup(
-        contract.where(F.col("cid").isNotNull()),
-        banks.agg(F.count(F.lit(1)).alias("banks")),
-        "stu_bank_code",
-        "bank_code",
-        ["banks"],
-    )
-    return coded.groupBy("cid").agg(
-        F.sum(nvl("banks", 0)).alias("with_bank"),
-        F.count_if(F.col("banks").isNull()).alias("without_bank"),
+    """Per person: joined contract rows with a known bank, and contract rows without.
+
+    Contracts are counted by person and bank code before they meet the banks.
+    """
+    coded = contract.where(F.col("cid").isNotNull()).groupBy("cid", "stu_bank_code")
+    coded = coded.agg(F.count(F.lit(1)).alias("contracts"))
+    banks = bank.groupBy("bank_code").agg(F.count(F.lit(1)).alias("banks"))
+    if fits(bank):
+        found = lookup(coded, F.broadcast(banks), "stu_bank_code", "bank_code", ["banks"])
+    else:
+        hot = frequent_keys(contract, "stu_bank_code")
+        found = lookup(coded, banks, "stu_bank_code", "bank_code", ["banks"], hot)
+    return found.groupBy("cid").agg(
+        F.sum(F.col("contracts") * nvl("banks", 0)).alias("with_bank"),
+        F.sum(F.when(F.col("banks").isNull(), F.col("contracts")).otherwise(F.lit(0))).alias("without_bank"),
     )
 
 
@@ -109,14 +114,16 @@ def audit_missing(
         return scope.prefilter(ledger[name])
 
     banks = _contract_banks(ledger["contract"], ledger["rdbbank"])
+    viewed = scoped("mv_dms_acc_report").groupBy("acc_no", "cid").agg(F.count(F.lit(1)).alias("n"))
+    hot = None if scope.small else frequent_keys(ledger["mv_dms_acc_report"], "cid")
     view = (
-        lookup(scoped("mv_dms_acc_report"), banks, "cid", "cid", ["with_bank", "without_bank"])
+        lookup(viewed, banks, "cid", "cid", ["with_bank", "without_bank"], hot)
         .groupBy("acc_no")
         .agg(
-            F.count(F.lit(1)).alias("views"),
-            F.sum("with_bank").alias("with_bank"),
-            F.sum("without_bank").alias("without_bank"),
-            F.count_if(F.col("with_bank").isNull()).alias("without_contract"),
+            F.sum("n").alias("views"),
+            F.sum(F.col("n") * F.col("with_bank")).alias("with_bank"),
+            F.sum(F.col("n") * F.col("without_bank")).alias("without_bank"),
+            F.sum(F.when(F.col("with_bank").isNull(), F.col("n")).otherwise(F.lit(0))).alias("without_contract"),
         )
     )
     open_bills = distinct_keys(scoped("dms_trn_bills"), "acc_no", m.is_open())

@@ -9,7 +9,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from debtlens import measures as m
-from debtlens.operators import Scope, assemble, chain_left, driver_list, one_per_key, pick_one
+from debtlens.operators import (
+    Scope,
+    assemble,
+    chain_left,
+    driver_list,
+    frequent_keys,
+    one_per_key,
+    pick_one,
+)
 from debtlens.operators.scope import MAX_BROADCAST_KEYS
 from debtlens.sources import Ledger
 from debtlens.sources.relations import ADDRESS
@@ -77,7 +85,8 @@ def contract_list(
     """One row per listed account, 44 columns.
 
     The hops by person (contract and bank by ``cid``, person by ``cif``) come first, while
-    a row is only the list's three keys; everything after them joins on the account.
+    a row is only the list's three keys; everything after them joins on the account. In a
+    long list many accounts may share one person, or have none, so those hops are salted.
     """
     listed = driver_list(ledger["list_acc_broken_contract"], ["acc_no", "cid", "cif"], accounts)
     scope = Scope.of(listed, max_keys=max_broadcast_keys)
@@ -89,12 +98,14 @@ def contract_list(
     person_columns = ["hr_title", "hr_name", "hr_surname", *ADDRESS]
     person = one_per_key(scope.by("cif").prefilter(ledger["person"]), "cif", person_columns)
     person = _prefixed(person, "pr_", ["hr_title", "hr_name", "hr_surname"])
-    who = chain_left(
-        listed,
+    hot = {} if scope.small else {c: frequent_keys(listed, c) for c in ("cid", "cif")}
+    base = chain_left(
+        pick_one(listed, ["acc_no"], tiebreak=["cid", "cif"]),
         [
             (contract, "cid", "cid", ["bank_name_th"]),
             (person, "cif", "cif", [c for c in person.columns if c != "cif"]),
         ],
+        hot,
     )
 
     view = one_per_key(scoped("mv_dms_acc_report"), "acc_no", [*PROFILE, "org"])
@@ -109,7 +120,6 @@ def contract_list(
         m.snapshot_balances(scoped("mv_ktb_day"), snapshot_date),
         m.last_processed(scoped("dms_log_cal")),
     ]
-    base = pick_one(who, ["acc_no"], tiebreak=["cid", "cif"])
     return assemble(base, parts).select(
         m.custodian("entity", "bank_name_th").alias("custodian"),
         "acc_no",

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from debtlens.sources.relations import RELATIONS
 
@@ -30,7 +29,7 @@ def normalize(df: DataFrame, name: str) -> DataFrame:
     absent = set(wanted) - set(source)
     if absent:
         raise ValueError(f"{name} lacks columns: {sorted(absent)}")
-    return df.select(*(F.col(f"`{source[c]}`").cast(t).alias(c) for c, t in wanted.items()))
+    return df.selectExpr(*(f"CAST(`{source[c]}` AS {t}) AS {c}" for c, t in wanted.items()))
 
 
 def load_relation(
