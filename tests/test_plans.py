@@ -1,0 +1,140 @@
+"""What the physical plans do and do not contain."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from books import AS_OF, ROWS, SNAPSHOT, books, frame
+from debtlens import measures as m
+from debtlens import operators as op
+from debtlens.plans import audit_missing, contract_list, debt_report, delinquency_report
+from debtlens.sources import Ledger
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    """The hand-made ledger as Parquet files."""
+    root = str(tmp_path_factory.mktemp("ledger"))
+    for name, rows in ROWS.items():
+        frame(spark, name, rows).write.parquet(f"{root}/{name}.parquet")
+    return Ledger.at(spark, root)
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """Sizes as on large tables: nothing is small enough for Spark to broadcast by itself."""
+    settings = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for s in settings:
+        spark.conf.set(s, "-1")
+    yield
+    for s in settings:
+        spark.conf.unset(s)
+
+
+REPORTS = {
+    "debt": lambda ledger, n: debt_report(ledger, AS_OF, SNAPSHOT, max_broadcast_keys=n),
+    "contract": lambda ledger, n: contract_list(ledger, SNAPSHOT, max_broadcast_keys=n),
+    "audit": lambda ledger, n: audit_missing(ledger, SNAPSHOT, max_broadcast_keys=n),
+    "delinquency": lambda ledger, n: delinquency_report(ledger),
+}
+
+
+@pytest.mark.parametrize("max_keys", [0, 1000], ids=["long list", "short list"])
+@pytest.mark.parametrize("name", REPORTS)
+def test_reports_have_no_python_and_no_cross_join(stored, no_broadcast, name, max_keys):
+    text = plan(REPORTS[name](stored, max_keys))
+    for operator in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin", "SinglePartition"):
+        assert operator not in text
+
+
+def test_a_short_list_filters_facts_before_their_shuffle(stored, no_broadcast):
+    text = plan(debt_report(stored, AS_OF, SNAPSHOT))
+    assert text.count("BroadcastHashJoin") == text.count("LeftSemi") - 1 >= 10  # one is the account view
+    # Read upwards from the scan: the semi-join comes before the partial aggregate's exchange.
+    bills = plan(m.overdue_count(op.Scope.of(stored["list_account_f69_117"]).prefilter(stored["dms_trn_bills"]), AS_OF))
+    assert bills.index("Exchange hashpartitioning") < bills.index("BroadcastHashJoin")
+
+
+def test_a_long_list_is_never_broadcast(stored, no_broadcast):
+    assert "BroadcastExchange" not in plan(debt_report(stored, AS_OF, SNAPSHOT, max_broadcast_keys=0))
+
+
+def test_each_fact_is_shuffled_once_by_account(stored, no_broadcast):
+    text = plan(debt_report(stored, AS_OF, SNAPSHOT, max_broadcast_keys=0))
+    relations = 12  # the list, ten parts, and the account view
+    assert text.count("FileScan parquet") == relations
+    assert len(re.findall(r"Exchange hashpartitioning\(acc_no#\d+", text)) == relations
+    assert text.count("Exchange ") == relations
+
+
+def test_delinquency_reads_bills_once(stored, no_broadcast):
+    text = plan(delinquency_report(stored))
+    assert text.count("FileScan parquet") == text.count("Exchange ") == 4
+
+
+def test_picks_are_limited_before_the_shuffle(stored, no_broadcast):
+    text = plan(m.preferred_contract(stored["contract"], stored["rdbbank"]))
+    assert re.search(r"WindowGroupLimit .*Final", text) and re.search(r"WindowGroupLimit .*Partial", text)
+    assert text.index("Final") < text.index("Exchange hashpartitioning(cid") < text.index("Partial")
+
+
+def test_aggregates_combine_before_the_shuffle(stored):
+    for reduced in (
+        m.current_installment(stored["dms_mst_installments"]),
+        m.summary_versions(stored["dms_trn_bill_summary"]),
+        m.fee_credits(stored["account_statement"]),
+        m.delinquent_bills(stored["dms_trn_bills"]),
+    ):
+        text = plan(reduced)
+        assert "partial_" in text.split("Exchange")[1]
+
+
+def test_filters_and_columns_reach_the_scan(stored):
+    text = plan(m.fee_credits(stored["account_statement"]))
+    pushed = re.search(r"PushedFilters: \[(.*?)\], ReadSchema", text).group(1)
+    assert "In(tran_type" in pushed and "EqualTo(tran_flag,N)" in pushed and "EqualTo(ec_revert_flag,N)" in pushed
+    schema = re.search(r"ReadSchema: struct<(.*?)>", plan(m.last_processed(stored["dms_log_cal"]))).group(1)
+    assert schema == "acc_no:string,cal_date:timestamp_ntz"
+    balances = plan(m.snapshot_balances(stored["mv_ktb_day"], SNAPSHOT))
+    assert "EqualTo(snapshot_date,2026-01-24)" in balances
+    named = plan(delinquency_report(stored, accounts=["v1"]))
+    assert named.count("PushedFilters: [") == len(re.findall(r"PushedFilters: \[[^\]]*acc_no,v1", named)) == 4
+
+
+def test_unused_lookups_disappear(stored):
+    text = plan(contract_list(stored, SNAPSHOT))
+    assert "ha_postal_code" not in text
+
+
+def test_overdue_bound_is_a_constant(stored):
+    bills = stored["dms_trn_bills"].where(m.before("due_period", AS_OF))
+    assert "LessThan(due_period,2026-01-24T00:00" in plan(bills)
+
+
+def test_uncorrelated_exists_is_evaluated_once(stored):
+    rows = op.exists_any(stored["dms_trn_bills"], stored["list_account_f69_117"], "acc_no")
+    assert "Subquery" in plan(rows) and "Join" not in plan(rows)
+
+
+def test_salted_join_shuffles_by_key_and_salt(spark, no_broadcast):
+    df = spark.range(5000).select((F.col("id") % 3).alias("k"), "id")
+    dim = df.groupBy("k").agg(F.count("id").alias("n")).withColumnRenamed("k", "d")
+    text = plan(op.salted_left_join(df, dim, "k", "d", op.frequent_keys(df, "k")))
+    assert len(re.findall(r"hashpartitioning\(coalesce\([kd]#.*_salt#", text)) == 2
+    assert "TakeOrderedAndProject(limit=1000" in text
+
+
+def test_bucketed_tables_need_no_fact_shuffle(spark, no_broadcast):
+    spark.sql("CREATE DATABASE IF NOT EXISTS bucketed")
+    frame(spark, "dms_trn_bills", ROWS["dms_trn_bills"]).write.bucketBy(4, "acc_no").saveAsTable(
+        "bucketed.dms_trn_bills", mode="overwrite"
+    )
+    bills = Ledger.at(spark, "bucketed")["dms_trn_bills"]
+    assert "Exchange" not in plan(m.delinquent_bills(bills))
+    expected = m.delinquent_bills(books(spark)["dms_trn_bills"])
+    assert sorted(m.delinquent_bills(bills).collect()) == sorted(expected.collect())
