@@ -94,15 +94,17 @@ def audit_missing(
     accounts: Sequence[str] | None = None,
     triggers: Sequence[str] = DEFAULT_TRIGGERS,
     blank: str | None = "",
-    counted: bool = False,
+    repeated: bool = False,
     max_broadcast_keys: int = MAX_BROADCAST_KEYS,
 ) -> DataFrame:
     """Ten missing-source flags per listed account that any of ``triggers`` applies to.
 
-    A listed account repeats for every combination of matching source rows, as left joins
-    would repeat it. Those rows differ only in the bank flag, so each source is reduced to
-    a match count and the rows are counted rather than joined. ``counted=True`` returns
-    that form, distinct rows with ``row_count``; otherwise the rows are repeated.
+    Left joins to the ten sources would repeat a listed account for every combination of
+    matching source rows, and those rows differ only in the contract and bank flags. Each
+    source is therefore reduced to a match count, and the result holds distinct rows with
+    the number of such combinations in ``row_count``. ``repeated=True`` gives the rows of
+    the joins instead. Mind its size where many accounts share one person who has many
+    contracts: it has a row for every pair.
 
     Contract, bank, monthly summary and open bills are found through the account view: an
     account missing there is missing in all of them.
@@ -166,4 +168,4 @@ def audit_missing(
         ).alias("row_count"),
     )
     missing = flagged.where(any_of(*(F.col(f) == "X" for f in triggers)))
-    return missing if counted else repeat_rows(missing, "row_count")
+    return repeat_rows(missing, "row_count") if repeated else missing

@@ -39,7 +39,7 @@ def no_broadcast(spark):
 REPORTS = {
     "debt": lambda ledger, n: debt_report(ledger, AS_OF, SNAPSHOT, max_broadcast_keys=n),
     "contract": lambda ledger, n: contract_list(ledger, SNAPSHOT, max_broadcast_keys=n),
-    "audit": lambda ledger, n: audit_missing(ledger, SNAPSHOT, max_broadcast_keys=n),
+    "audit": lambda ledger, n: audit_missing(ledger, SNAPSHOT, repeated=True, max_broadcast_keys=n),
     "delinquency": lambda ledger, n: delinquency_report(ledger),
 }
 

@@ -266,10 +266,10 @@ def test_audit_equals_the_joins(spark, extra, triggers, max_keys):
     ledger = books(spark, **extra)
     expected = audit_by_hand(ROWS | extra, triggers)
     options = dict(triggers=triggers, max_broadcast_keys=max_keys)
-    audit = audit_missing(ledger, SNAPSHOT, **options)
+    audit = audit_missing(ledger, SNAPSHOT, repeated=True, **options)
     assert audit.columns == list(AUDIT_LABELS)
     assert Counter(tuple(r) for r in audit.collect()) == expected
-    counted = audit_missing(ledger, SNAPSHOT, counted=True, **options).collect()
+    counted = audit_missing(ledger, SNAPSHOT, **options).collect()
     assert {tuple(r)[:-1]: r.row_count for r in counted} == expected
 
 
