@@ -18,6 +18,8 @@ class Tables:
         self.location = location
 
     def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_"):
+            raise AttributeError(name)
         # Opening a table reads its footer, so each is opened once.
         table = load(self.spark, self.location, name)
         setattr(self, name, table)

@@ -9,8 +9,8 @@ cheap depends only on the length of the list:
 * a long list is not broadcast. Facts are reduced first (partial results per map task, so
   a hot key is never gathered raw), and the list meets them in a co-partitioned join.
 
-``Scope.of`` counts the list once to choose. Every broadcast the package asks for is bounded
-by such a count or by a limit; the remaining joins leave the choice to Spark's own size
+``Scope.of`` measures the list once to choose. Every broadcast the package asks for is bounded
+by such a measurement or by a limit; the remaining joins leave the choice to Spark's own size
 check.
 """
 
@@ -22,13 +22,19 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key is a short identifier, so this many of them stay well under 100 MB per executor.
+from debtlens.functions.scalars import add0
+
+# Bounds of a broadcast: far below what an executor holds, and far above a usual list.
 MAX_BROADCAST_KEYS = 500_000
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def fits(df: DataFrame, max_rows: int = MAX_BROADCAST_KEYS) -> bool:
-    """Whether ``df`` is short enough to broadcast, by counting it (a footer read for Parquet)."""
-    return df.count() <= max_rows
+def fits(df: DataFrame, max_rows: int = MAX_BROADCAST_KEYS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """Whether ``df`` is short enough to broadcast, by counting its rows and text bytes."""
+    texts = [c for c, kind in df.dtypes if kind == "string"]
+    size = F.sum(add0(F.lit(0), *(F.octet_length(c) for c in texts)))
+    rows, text_bytes = df.agg(F.count(F.lit(1)), size).first()
+    return rows <= max_rows and (text_bytes or 0) <= max_bytes
 
 
 def driver_list(
