@@ -10,10 +10,11 @@ from debtlens.sources.tables import load_relation, normalize
 
 
 class Ledger:
-    """Relations by name, each opened when a report first asks for it."""
+    """Relations by name, each opened (its files listed) once, when a report first asks for it."""
 
     def __init__(self, open_relation: Callable[[str], DataFrame]):
         self._open = open_relation
+        self._opened: dict[str, DataFrame] = {}
 
     @classmethod
     def at(cls, spark: SparkSession, location: str, suffix: str = ".parquet") -> Ledger:
@@ -25,4 +26,6 @@ class Ledger:
         return cls(lambda name: normalize(frames[name], name))
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self._open(name)
+        if name not in self._opened:
+            self._opened[name] = self._open(name)
+        return self._opened[name]
