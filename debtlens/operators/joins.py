@@ -53,8 +53,8 @@ def lookup(
 ) -> DataFrame:
     """``df`` plus ``columns`` of the matching ``dim`` row (at most one per ``dim_key``).
 
-    Give ``hot``, the :func:`frequent_keys` of ``df``, when ``df`` is large and its key is
-    not: placeholder persons, one dominant bank, NULL.
+    Give ``hot``, the :func:`frequent_keys` of ``df``, when ``df`` is large and some keys may
+    hold much of it: placeholder persons, one dominant bank, NULL.
     """
     side = dim.where(F.col(dim_key).isNotNull()).select(F.col(dim_key).alias("_dim_key"), *columns)
     if hot is None:
@@ -68,12 +68,12 @@ Hop = tuple[DataFrame, str, str, Sequence[str]]
 
 
 def chain_left(
-    base: DataFrame, hops: Iterable[Hop], hot: Mapping[str, DataFrame] | None = None
+    base: DataFrame, hops: Iterable[Hop], hot: Mapping[str, DataFrame | None] | None = None
 ) -> DataFrame:
     """Successive lookups ``(dim, key, dim_key, columns)``, each able to use the previous ones.
 
     Where a hop finds nothing, the hops that depend on it find nothing either. ``hot`` maps
-    a key to its frequent values.
+    a key to its frequent values, if any.
     """
     for dim, key, dim_key, columns in hops:
         base = lookup(base, dim, key, dim_key, columns, (hot or {}).get(key))

@@ -11,43 +11,50 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Bounds by construction: at most this many keys are broadcast, and any key outside them
-# holds less than 1/HOT_KEYS of the rows, which a single task can take.
+from debtlens.functions.scalars import nvl
+
+# A key is frequent if it holds over 1/HOT_KEYS of the rows. Fewer than HOT_KEYS keys can, so
+# they are safe to broadcast, and a single task can take the rows of any other key.
 HOT_KEYS = 1000
-SALTS = 64
 
 
-def frequent_keys(df: DataFrame, key: str, limit: int = HOT_KEYS) -> DataFrame:
-    """The ``limit`` most frequent values of a key, NULL included.
+def frequent_keys(df: DataFrame, key: str, one_in: int = HOT_KEYS) -> DataFrame | None:
+    """The values of a key, NULL included, that hold over ``1/one_in`` of the rows.
 
-    Ties break by the key itself, so every evaluation gives the same keys; the two sides of
-    a salted join must agree on them.
+    Each comes with the number of salts that cuts its rows into pieces of about that share,
+    fewer than ``2 * one_in`` pieces in all. None if there is no such value, which one count
+    by key decides, so that a join without hot keys is planned without salts.
     """
     counts = df.groupBy(F.col(key).alias("_hot_key")).count()
-    ranked = counts.orderBy(F.col("count").desc(), F.col("_hot_key").asc_nulls_last())
-    return ranked.limit(limit).select("_hot_key")
+    most, rows = counts.agg(F.max("count"), F.sum("count")).first()
+    if not rows or most * one_in <= rows:
+        return None
+    salts = F.ceil(F.col("count") * one_in / F.lit(rows)).cast("int")
+    return counts.where(F.col("count") * one_in > rows).select("_hot_key", salts.alias("_salts"))
 
 
 def salted_left_join(
-    df: DataFrame, dim: DataFrame, key: str, dim_key: str, hot: DataFrame, salts: int = SALTS
+    df: DataFrame, dim: DataFrame, key: str, dim_key: str, hot: DataFrame | None
 ) -> DataFrame:
     """``df`` left-joined to ``dim`` (one row per ``dim_key``) on equal keys, NULL equal to NULL.
 
-    ``hot`` comes from :func:`frequent_keys`. A row's salt is a hash of the row, so a task
-    that is run again sends it to the same place.
+    ``hot`` comes from :func:`frequent_keys` of ``df``; without hot keys this is a plain join.
+    A row's salt is a hash of the row, so a task that is run again sends it to the same place.
     """
-    marks = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-    is_hot = F.col("_hot").isNotNull()
+    same_key = F.col(key).eqNullSafe(F.col(dim_key))
+    if hot is None:
+        return df.join(dim, same_key, "left")
+    marks = F.broadcast(hot)
+    salts = nvl("_salts", 1)
 
     row_hash = F.xxhash64(*(F.col(f"`{c}`") for c in df.columns))
     rows = df.join(marks, F.col(key).eqNullSafe(F.col("_hot_key")), "left").withColumn(
-        "_salt", F.when(is_hot, F.pmod(row_hash, F.lit(salts)).cast("int")).otherwise(F.lit(0))
+        "_salt", F.pmod(row_hash, salts).cast("int")
     )
-    last_salt = F.when(is_hot, F.lit(salts - 1)).otherwise(F.lit(0))
     copies = (
         dim.join(marks, F.col(dim_key).eqNullSafe(F.col("_hot_key")), "left")
-        .withColumn("_dim_salt", F.explode(F.sequence(F.lit(0), last_salt)))
-        .drop("_hot_key", "_hot")
+        .withColumn("_dim_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+        .drop("_hot_key", "_salts")
     )
-    matches = F.col(key).eqNullSafe(F.col(dim_key)) & (F.col("_salt") == F.col("_dim_salt"))
-    return rows.drop("_hot_key", "_hot").join(copies, matches, "left").drop("_salt", "_dim_salt")
+    matches = same_key & (F.col("_salt") == F.col("_dim_salt"))
+    return rows.drop("_hot_key", "_salts").join(copies, matches, "left").drop("_salt", "_dim_salt")

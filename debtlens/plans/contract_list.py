@@ -86,7 +86,8 @@ def contract_list(
 
     The hops by person (contract and bank by ``cid``, person by ``cif``) come first, while
     a row is only the list's three keys; everything after them joins on the account. In a
-    long list many accounts may share one person, or have none, so those hops are salted.
+    long list many accounts may share one person, or have none, so those hops are
+    salted if a count by person finds it so.
     """
     listed = driver_list(ledger["list_acc_broken_contract"], ["acc_no", "cid", "cif"], accounts)
     scope = Scope.of(listed, max_keys=max_broadcast_keys)

@@ -86,11 +86,11 @@ def test_count_over_equals_an_unordered_window(spark):
     assert bag(over) == Counter((k, v, totals[k]) for k, v in rows)
 
 
-@pytest.mark.parametrize("limit", [1, 2, 1000])
-def test_salted_join_equals_a_plain_join(spark, limit):
+@pytest.mark.parametrize("one_in", [4, 10, 1000])
+def test_salted_join_equals_a_plain_join(spark, one_in):
     df = skewed(spark)
     dim = spark.createDataFrame([(7, "hot"), (100, "x"), (101, "y"), (999, "unused")], "d int, name string")
-    hot = op.frequent_keys(df, "k", limit)
+    hot = op.frequent_keys(df, "k", one_in)
     salted = op.lookup(df, dim, "k", "d", ["name"], hot)
     assert bag(salted) == bag(op.lookup(df, dim, "k", "d", ["name"]))
     null_safe = op.salted_left_join(df, dim.unionByName(spark.sql("SELECT CAST(NULL AS INT) AS d, 'none' AS name")),
@@ -101,9 +101,15 @@ def test_salted_join_equals_a_plain_join(spark, limit):
     )
 
 
-def test_frequent_keys_are_the_most_frequent_ones(spark):
-    keys = [r[0] for r in op.frequent_keys(skewed(spark), "k", 2).collect()]
-    assert keys == [7, None]
+def test_frequent_keys_hold_more_than_their_share(spark):
+    def keys(one_in):
+        return {r[0] for r in op.frequent_keys(skewed(spark), "k", one_in).collect()}
+
+    assert keys(4) == {7} and keys(10) == {7, None}
+    pieces = {r["_hot_key"]: r["_salts"] for r in op.frequent_keys(skewed(spark), "k", 10).collect()}
+    assert pieces == {7: 4, None: 2}
+    assert op.frequent_keys(skewed(spark), "k", 3) is None  # exactly a third is not over a third
+    assert op.frequent_keys(skewed(spark).where("false"), "k") is None
 
 
 def test_a_hot_key_is_spread_over_salts(spark):

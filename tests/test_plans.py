@@ -126,7 +126,10 @@ def test_salted_join_shuffles_by_key_and_salt(spark, no_broadcast):
     dim = df.groupBy("k").agg(F.count("id").alias("n")).withColumnRenamed("k", "d")
     text = plan(op.salted_left_join(df, dim, "k", "d", op.frequent_keys(df, "k")))
     assert len(re.findall(r"hashpartitioning\(coalesce\([kd]#.*_salt#", text)) == 2
-    assert "TakeOrderedAndProject(limit=1000" in text
+    even = dim.withColumn("copy", F.lit(1))
+    assert op.frequent_keys(df, "id", 50) is None
+    plain = plan(op.salted_left_join(df, even, "k", "d", None))
+    assert "_salt" not in plain and "Broadcast" not in plain
 
 
 def test_bucketed_tables_need_no_fact_shuffle(spark, no_broadcast):
