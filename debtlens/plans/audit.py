@@ -61,7 +61,7 @@ def _contract_banks(contract: DataFrame, bank: DataFrame) -> DataFrame:
     if fits(bank):
         found = lookup(coded, F.broadcast(banks), "stu_bank_code", "bank_code", ["banks"])
     else:
-        hot = frequent_keys(contract, "stu_bank_code")
+        hot = frequent_keys(coded, "stu_bank_code")
         found = lookup(coded, banks, "stu_bank_code", "bank_code", ["banks"], hot)
     return found.groupBy("cid").agg(
         F.sum(F.col("contracts") * nvl("banks", 0)).alias("with_bank"),
@@ -117,7 +117,7 @@ def audit_missing(
 
     banks = _contract_banks(ledger["contract"], ledger["rdbbank"])
     viewed = scoped("mv_dms_acc_report").groupBy("acc_no", "cid").agg(F.count(F.lit(1)).alias("n"))
-    hot = None if scope.small else frequent_keys(ledger["mv_dms_acc_report"], "cid")
+    hot = None if scope.small else frequent_keys(viewed, "cid")
     view = (
         lookup(viewed, banks, "cid", "cid", ["with_bank", "without_bank"], hot)
         .groupBy("acc_no")

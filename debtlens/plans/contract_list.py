@@ -99,9 +99,10 @@ def contract_list(
     person_columns = ["hr_title", "hr_name", "hr_surname", *ADDRESS]
     person = one_per_key(scope.by("cif").prefilter(ledger["person"]), "cif", person_columns)
     person = _prefixed(person, "pr_", ["hr_title", "hr_name", "hr_surname"])
-    hot = {} if scope.small else {c: frequent_keys(listed, c) for c in ("cid", "cif")}
+    accounts_once = pick_one(listed, ["acc_no"], tiebreak=["cid", "cif"])
+    hot = {} if scope.small else {c: frequent_keys(accounts_once, c) for c in ("cid", "cif")}
     base = chain_left(
-        pick_one(listed, ["acc_no"], tiebreak=["cid", "cif"]),
+        accounts_once,
         [
             (contract, "cid", "cid", ["bank_name_th"]),
             (person, "cif", "cif", [c for c in person.columns if c != "cif"]),
