@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from debtlens.llm import exact_dedup, near_dedup, packing, quality
+from debtlens.llm import exact_dedup, huffman, near_dedup, packing, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -55,3 +55,8 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op4_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return huffman.report(table(spark, sf_dir, "documents"))
