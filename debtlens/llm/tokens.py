@@ -25,11 +25,11 @@ CACHE = 1_500_000
 SLICE = 4 << 20
 
 _BYTES = np.arange(256)
-_ASCII_LETTER = ((_BYTES | 32) >= 97) & ((_BYTES | 32) <= 122)
-_PUNCTUATION = (_BYTES > 32) & (_BYTES < 127) & ~_ASCII_LETTER & ~((_BYTES >= 48) & (_BYTES <= 57))
+ASCII_LETTER = ((_BYTES | 32) >= 97) & ((_BYTES | 32) <= 122)
+PUNCTUATION = (_BYTES > 32) & (_BYTES < 127) & ~ASCII_LETTER & ~((_BYTES >= 48) & (_BYTES <= 57))
 #: Second bytes after 0xC3: the letters of Latin-1, and among them the capitals.
-_LATIN = (_BYTES >= 0x80) & (_BYTES <= 0xBF) & (_BYTES != 0x97) & (_BYTES != 0xB7)
-_CAPITAL = _LATIN & (_BYTES <= 0x9E)
+LATIN = (_BYTES >= 0x80) & (_BYTES <= 0xBF) & (_BYTES != 0x97) & (_BYTES != 0xB7)
+_CAPITAL = LATIN & (_BYTES <= 0x9E)
 
 
 def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -91,8 +91,8 @@ class WordIds:
         """All ids, and where each text's ids start (one more for the end)."""
         data, offsets = W.buffers(texts)
         starts, ends, first = W.find(data, offsets)
-        letter, latin = _ASCII_LETTER[data], np.zeros(len(data), bool)
-        pair = np.flatnonzero((data[:-1] == 0xC3) & _LATIN[data[1:]]) if len(data) else np.empty(0, np.int64)
+        letter, latin = ASCII_LETTER[data], np.zeros(len(data), bool)
+        pair = np.flatnonzero((data[:-1] == 0xC3) & LATIN[data[1:]]) if len(data) else np.empty(0, np.int64)
         latin[pair] = latin[pair + 1] = True
         letter |= latin
         lower = W.LOWER[data]
@@ -103,7 +103,7 @@ class WordIds:
             return sums[ends] - sums[starts]
 
         turn = np.zeros(len(data), bool)  # a letter after punctuation inside a word
-        punctuation = _PUNCTUATION[data]
+        punctuation = PUNCTUATION[data]
         turn[1:] = letter[1:] & punctuation[:-1]
         letters, marks = counted(letter), counted(punctuation)
         plain = (letters > 0) & (letters + marks == ends - starts) & (counted(turn) == 0) & letter[np.minimum(starts, len(data) - 1)] if len(starts) else np.empty(0, bool)
