@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from debtlens.llm import bpe_count, exact_dedup, huffman, near_dedup, packing, quality
+from debtlens.llm import bpe_count, exact_dedup, html_text, huffman, near_dedup, packing, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -65,3 +65,8 @@ def op4_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_count.report(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
