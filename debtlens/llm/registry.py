@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from debtlens.llm import bpe_count, exact_dedup, html_text, huffman, near_dedup, packing, quality
+from debtlens.llm import bpe_count, exact_dedup, html_text, huffman, near_dedup, packing, quality, rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -70,3 +70,41 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query(
+    r"""
+    WITH texts AS (
+        SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
+    ), cut AS (
+        SELECT *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words,
+            list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+        FROM texts
+    ), windows AS (
+        SELECT r, i, list_slice(words, i, i + 4) AS w
+        FROM (SELECT r, words, unnest(generate_series(1, len(words) - 4)) AS i FROM cut WHERE len(words) >= 5)
+    ), repeated AS (
+        SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, w) AS n FROM windows) WHERE n > 1
+    ), covered AS (
+        SELECT r, count(DISTINCT i + k) AS n FROM repeated, (SELECT unnest([0, 1, 2, 3, 4]) AS k) GROUP BY r
+    ), base AS (
+        SELECT doc_id, t, len(words) AS n_words, len(array_to_string(words, '')) AS word_chars,
+            len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, len(lines) AS n_lines,
+            len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words
+        FROM cut LEFT JOIN covered USING (r)
+    ), judged AS (
+        SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM base
+    )
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+        NOT base_failed
+        AND 100 * n_symbols <= 20 * n_words
+        AND NOT (n_dup_lines >= 3 AND 100 * n_dup_lines > 30 * n_lines)
+        AND word_chars BETWEEN 2 * n_words AND 20 * n_words
+        AND 100 * len(regexp_extract_all(t, '\p{Lu}')) <= 40 * word_chars
+        AND 100 * len(regexp_extract_all(t, '!')) <= 50 * n_words
+        AND 100 * len(regexp_extract_all(t, '\p{L}')) >= 50 * word_chars AS kept
+    FROM judged
+    """
+)
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.report(table(spark, sf_dir, "documents"))
