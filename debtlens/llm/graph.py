@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from debtlens.llm.scratch import stored
@@ -42,74 +42,66 @@ def components(edges: DataFrame) -> DataFrame:
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
 
 
-def linked(members: DataFrame, near: str, test: Callable[[DataFrame], DataFrame], first: int = 1) -> DataFrame:
-    """(node, component) over all links between nodes that share a bucket.
+def linked(
+    members: DataFrame,
+    near: str,
+    test: Callable[[DataFrame], DataFrame],
+    labels: DataFrame | None = None,
+    rounds: int | None = None,
+) -> tuple[DataFrame | None, DataFrame]:
+    """Labels (node, component) over links between nodes that share a bucket, and what is open.
 
-    ``members`` has bucket, node and what the condition ``near`` reads of both ends (columns of
-    the hub are prefixed ``hub_``). ``test`` keeps the edges (a, b) that are links. In every
-    bucket the smallest nodes are hubs, joined to all larger nodes: stars, not pairs. A bucket
-    is done when the nodes above its hubs are one component already, as links between them can't
-    change anything; the others get a star round each of the next hubs, four times as many as
-    before. So no link between components is lost, however large the bucket, and the pairs of
-    a group of near copies number a few per copy.
+    ``members`` has bucket, node, rank and what the condition ``near`` reads of both ends (columns
+    of the hub are prefixed ``hub_``). ``test`` keeps the edges (a, b) that are links. In every
+    bucket the nodes of least rank are hubs, joined to the nodes after them: stars, not pairs. A
+    bucket is done when the nodes after its hubs are one component already, as links between them
+    can't change anything; the others get a star round each of the next hubs, four times as many
+    as before. Edges never join nodes that are one component.
+
+    With ``rounds`` it stops after so many; the members of buckets that aren't done are returned.
+    Without, no link between components is left out, however large the bucket. ``labels`` are
+    those known from before, None if there are no links.
     """
     rows = stored(members, "members")
-    extra = [c for c in rows.columns if c not in ("bucket", "node")]
-    links, labels, hubs = None, None, first
+    extra = [c for c in rows.columns if c not in ("bucket", "node", "rank")]
+    links = None if labels is None else labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    hubs, done = 1, 0
     while True:
-        sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
         if labels is None:
-            open_buckets = sizes.where("n > 1").select("bucket")
             current = rows.withColumn("component", F.col("node"))
         else:
             current = rows.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-            open_buckets = (
-                current.groupBy("bucket")
-                .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-                .where("low < high")
-                .select("bucket")
-            )
-        current = stored(current.join(open_buckets, "bucket"), "members")
-        if current.isEmpty():
-            break
-        rows = current.select("bucket", "node", *extra)
-        chosen = (
-            current.groupBy("bucket").agg(F.min("node").alias("hub"))
-            if hubs == 1
-            else _smallest(current, hubs)
-        )
+        mixed = current.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        current = stored(current.join(mixed.where("low < high").select("bucket"), "bucket"), "members")
+        rows = current.select("bucket", "node", "rank", *extra)
+        if done == rounds or current.isEmpty():
+            return labels, rows
+        # Each hub is named by its place in its bucket's order.
+        order = F.struct("rank", "node")
+        if hubs == 1:
+            places = current.groupBy("bucket").agg(F.min(order).alias("place"))
+        else:
+            number = F.row_number().over(Window.partitionBy("bucket").orderBy("rank", "node"))
+            places = current.withColumn("number", number).where(F.col("number") <= hubs).select("bucket", order.alias("place"))
+        own = ["component", *extra]
         chosen = stored(
-            chosen.join(
-                current.select("bucket", F.col("node").alias("hub"), F.col("component").alias("hub_component"), *(F.col(c).alias(f"hub_{c}") for c in extra)),
-                ["bucket", "hub"],
-            ),
+            current.select("bucket", order.alias("place"), *(F.col(c).alias(f"hub_{c}") for c in own)).join(places, ["bucket", "place"]),
             "hubs",
         )
         stars = (
             current.join(chosen, "bucket")
-            .where("node > hub AND component <> hub_component")
+            .where(order > F.col("place"))
+            .where("component <> hub_component")
             .where(near)
-            .select(F.col("hub").alias("a"), F.col("node").alias("b"))
+            .select(F.least("place.node", "node").alias("a"), F.greatest("place.node", "node").alias("b"))
             .distinct()
         )
-        stars = stored(stars, "stars")
-        found = stored(test(stars), "links")
+        found = stored(test(stored(stars, "stars")), "links")
         if not found.isEmpty():
             links = found if links is None else links.union(found)
             labels = stored(components(links), "labels")
-            links = stored(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).where("a <> b"), "links")
-        # Hubs have met every larger node of their bucket.
-        last = chosen.groupBy("bucket").agg(F.max("hub").alias("hub"))
-        rows = stored(rows.join(last, "bucket").where("node > hub").drop("hub"), "members")
-        hubs *= 4
-    if labels is None:
-        return members.select("node", F.col("node").alias("component")).limit(0)
-    return labels
-
-
-def _smallest(members: DataFrame, n: int) -> DataFrame:
-    """The n smallest nodes of each bucket; Spark keeps n rows per bucket and task while it sorts."""
-    from pyspark.sql import Window
-
-    rank = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
-    return members.withColumn("rank", rank).where(F.col("rank") <= n).select("bucket", F.col("node").alias("hub"))
+            links = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        # Hubs have met every node after them.
+        last = chosen.groupBy("bucket").agg(F.max("place").alias("place"))
+        rows = stored(rows.join(last, "bucket").where(order > F.col("place")).drop("place"), "members")
+        hubs, done = hubs * 4, done + 1

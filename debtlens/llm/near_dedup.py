@@ -5,8 +5,11 @@
    bins copy a full one, found by a fixed random probe sequence per bin (optimal densification),
    so that bins still agree with the probability that is the sets' similarity.
 2. Texts with equal sets are one node from here on. Nodes sharing a band share a bucket.
-3. Buckets link their nodes by stars (see :func:`debtlens.llm.graph.linked`); every edge of a
-   star is confirmed on the full shingle sets.
+3. Every bucket links its nodes by a star round the node that is most like the others (see
+   :func:`debtlens.llm.graph.linked`); every edge is confirmed on the full shingle sets.
+4. Buckets that hold several components after that are settled exactly: their nodes meet again
+   in buckets of shared rare shingles, in further stars, until no two components of a bucket
+   have nodes that could be linked and were not tested.
 
 With 32 bands of 6 rows a pair at similarity 0.85 is missed with probability (1 - 0.85^6)^32,
 under 3 in 10 million; every other step is exact. Pairs whose set sizes already rule the
@@ -134,10 +137,12 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
         ),
         "near_nodes",
     )
-    members = nodes.select(F.explode("buckets").alias("bucket"), "node", F.col("n").cast("int").alias("n")).distinct()
-    members = stored(members, "near_members")
-    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
-    members = stored(members.join(shared.select("bucket"), "bucket"), "near_shared")
+    exploded = stored(nodes.select(F.explode("buckets").alias("bucket"), "node", F.col("n").cast("int").alias("n")), "near_members")
+    shared = exploded.groupBy("bucket").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
+    members = stored(exploded.join(shared, "bucket"), "near_shared")
+    # Hubs come first: a node in large buckets is like most of its group.
+    ranks = members.groupBy("node").agg((-F.sum("many")).alias("rank"))
+    members = members.drop("many").join(ranks, "node")
     # The text of a node is that of its smallest document; only such texts are read again.
     wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select(
         F.col("node").alias("doc_id"), "name"
@@ -156,7 +161,12 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
         union = F.size("set_a") + F.size("set_b") - both
         return edges.join(right, "b").join(left, "a").where(100 * both >= PERCENT * union).select("a", "b")
 
-    labels = linked(members, f"100 * least(n, hub_n) >= {PERCENT} * greatest(n, hub_n)", confirmed)
+    near = f"100 * least(n, hub_n) >= {PERCENT} * greatest(n, hub_n)"
+    labels, rest = linked(members, near, confirmed, rounds=1)
+    near = f"{100 + PERCENT} * least(n - place_at, hub_n - hub_place_at) >= {PERCENT} * (n + hub_n)"
+    labels, _ = linked(_by_rare_shingles(sets, rest), near, confirmed, labels)
+    if labels is None:
+        labels = nodes.select("node", F.col("node").alias("component")).limit(0)
     of_name = nodes.select("name", "node").join(labels, "node", "left").select(
         "name", F.coalesce("component", "node").alias("component_id")
     )
@@ -166,6 +176,31 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def _by_rare_shingles(sets: DataFrame, rest: DataFrame) -> DataFrame:
+    """The nodes of buckets that stars have not settled, in buckets of their rare shingles.
+
+    With all sets in one order, rare shingles first, two sets that are similar enough share a
+    shingle whose places in both leave room for the overlap they need. A row is left out if its
+    place leaves too little room even for the smallest set of its bucket. What the copies of a
+    passage have in common is frequent, so unlike copies don't meet again here.
+    """
+    nodes = rest.groupBy("node").agg(F.first("rank").alias("rank"))
+    each = sets.join(nodes, "node").select("node", "rank", F.size("shingles").alias("n"), F.explode("shingles").alias("bucket"))
+    each = stored(each, "near_rest")
+    often = each.groupBy("bucket").agg(F.count(F.lit(1)).alias("many"))
+    # A shingle of one set links nothing, but takes its place in the order.
+    ordered = each.join(often, "bucket").groupBy("node").agg(
+        F.first("rank").alias("rank"), F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("many", "bucket"))).alias("all")
+    )
+    heads = F.slice("all", 1, F.floor((100 - PERCENT) * F.col("n") / 100).cast("int") + 1)
+    rows = ordered.select("node", "rank", "n", F.posexplode(heads).alias("place_at", "s"))
+    rows = rows.where("s.many > 1").select("node", "rank", "n", "place_at", F.col("s.bucket").alias("bucket"))
+    rows = stored(rows, "near_heads")
+    least = rows.groupBy("bucket").agg(F.min("n").alias("least"))
+    room = F.expr(f"{100 + PERCENT} * (n - place_at) >= {PERCENT} * (n + least)")
+    return rows.join(least, "bucket").where(room).drop("least")
+
+
 def _named(sketches: DataFrame, of_name: DataFrame) -> DataFrame:
     from debtlens.llm.hot import join_counted
 
