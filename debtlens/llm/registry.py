@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from debtlens.llm import bpe_count, exact_dedup, html_text, huffman, near_dedup, packing, quality, rules
+from debtlens.llm import bpe_count, exact_dedup, html_text, huffman, line_dedup, mixing, near_dedup, packing, quality, rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -108,3 +108,13 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.report(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op5_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(table(spark, sf_dir, "documents"))
