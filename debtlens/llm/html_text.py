@@ -1,8 +1,8 @@
 """Main text of web pages by tag-path ratios.
 
 A page becomes its text blocks in page order, each with its path of open elements from the root.
-Per path, over the whole page: blocks, characters and punctuation. Two ratios, characters and
-punctuation per block, are smoothed over the paths in the order they first appear and fused into
+Per path, over the whole page: blocks, characters outside links and punctuation. Two ratios,
+characters and punctuation per block, are smoothed over the paths in the order they first appear and fused into
 one weight by a product; running prose is high in both, link lists in neither. Structure enters
 as a prior: blocks below elements that name themselves as other than content (``nav``, a class
 ``ad``, ...) have none, and where a page marks its article, paths inside gain weight and paths
@@ -96,25 +96,35 @@ def _other(name: str, rest: str) -> bool:
     return False
 
 
-def blocks(page: str) -> list[tuple[str, tuple[str, ...], bool]]:
-    """Text, path and whether inside an article of every non-empty block that may be content."""
-    found: list[tuple[str, tuple[str, ...], bool]] = []
+#: Text, path, whether inside an article, and the share of the text that is not a link's.
+Block = tuple[str, tuple[str, ...], bool, float]
+
+
+def blocks(page: str) -> list[Block]:
+    """Every non-empty block that may be content."""
+    found: list[Block] = []
     names: list[str] = []
     others: list[bool] = []  # per open element: it or one above it is other than content
     inside: list[bool] = []  # per open element: it or one above it is an article
     parts: list[str] = []
+    links = 0  # open links
+    plain: list[int] = []  # of every part: its length, 0 in a link
 
     def flush() -> None:
         if parts:
+            share = sum(plain) / max(1, sum(map(len, parts)))
             text = " ".join(unescape("".join(parts)).split())
             parts.clear()
+            plain.clear()
             if text and not (others and others[-1]):
                 path = tuple(n for n in names if n in BLOCK)
-                found.append((text, path, bool(inside and inside[-1])))
+                found.append((text, path, bool(inside and inside[-1]), share))
 
     def close(depth: int) -> None:
+        nonlocal links
         if any(n in BLOCK for n in names[depth:]) or (others and others[-1]):
             flush()
+        links -= names[depth:].count("a")
         del names[depth:], others[depth:], inside[depth:]
 
     at, n = 0, len(page)
@@ -123,6 +133,7 @@ def blocks(page: str) -> list[tuple[str, tuple[str, ...], bool]]:
         text = page[at : hit.start()] if hit else page[at:]
         if text and not (others and others[-1]):
             parts.append(text)
+            plain.append(0 if links else len(text))
         if not hit:
             break
         at = hit.end()
@@ -138,6 +149,7 @@ def blocks(page: str) -> list[tuple[str, tuple[str, ...], bool]]:
             continue
         if name == "br":
             parts.append(" ")
+            plain.append(0)
             continue
         if name in BLOCK:
             for k in range(len(names) - 1, -1, -1):
@@ -164,20 +176,21 @@ def blocks(page: str) -> list[tuple[str, tuple[str, ...], bool]]:
         if other:
             flush()
         names.append(name)
+        links += name == "a"
         others.append(other or bool(others and others[-1]))
         inside.append(name in CONTENT or bool(inside and inside[-1]))
     flush()
     return found
 
 
-def content_paths(found: list[tuple[str, tuple[str, ...], bool]]) -> set[tuple[tuple[str, ...], bool]]:
+def content_paths(found: list[Block]) -> set[tuple[tuple[str, ...], bool]]:
     """The paths (and whether inside an article) whose weight is high enough."""
-    totals: dict[tuple[tuple[str, ...], bool], list[int]] = {}
-    for text, path, article in found:
+    totals: dict[tuple[tuple[str, ...], bool], list[float]] = {}
+    for text, path, article, plain in found:
         held = totals.setdefault((path, article), [0, 0, 0])
         held[0] += 1
-        held[1] += len(text)
-        held[2] += len(_PUNCTUATION.findall(text))
+        held[1] += plain * len(text)
+        held[2] += plain * len(_PUNCTUATION.findall(text))
     if not totals:
         return set()
     n, chars, marks = np.array(list(totals.values()), float).T
@@ -195,7 +208,7 @@ def content_paths(found: list[tuple[str, tuple[str, ...], bool]]) -> set[tuple[t
 def main_text(page: str | None) -> str:
     found = blocks(page or "")
     content = content_paths(found)
-    return "\n".join(text for text, path, article in found if (path, article) in content)
+    return "\n".join(text for text, path, article, _ in found if (path, article) in content)
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
