@@ -256,6 +256,35 @@ DERIVATIONS: dict[str, list[Derivation]] = {
 }
 
 
+
+
+def repeated(name: str, every: int, **changed: str) -> None:
+    """Repeat every so many-th row of a relation's first derivation, some columns changed."""
+    first = DERIVATIONS[name][0]
+    key = {"customer": "c_custkey", "nation": "n_nationkey", "orders": "o_orderkey"}[first.table]
+    rows = Derivation(first.table, {**first.columns, **changed}, f"({first.where}) AND {key} % {every} = 0")
+    DERIVATIONS[name].append(rows)
+
+
+# Keys that should occur once and don't, so that every survivor is chosen by its order; and list
+# rows without an account. Different primes keep the products of repeats small.
+repeated("list_account_f69_117", 7, cid=f"'0' || {PERSON}")
+repeated("list_acc_broken_contract", 7, cid=f"'0' || {PERSON}", cif=f"'F0' || {PERSON}")
+for listed in ("list_account_f69_117", "list_acc_broken_contract"):
+    nobody = {"acc_no": "CAST(NULL AS STRING)", "cid": f"'Z' || {text('s_suppkey')}", "cif": "'none'"}
+    columns = {c: nobody[c] for c in DERIVATIONS[listed][0].columns}
+    DERIVATIONS[listed].append(Derivation("supplier", columns))
+repeated("mv_dms_acc_report", 11, cid=f"'0' || {PERSON}", loan_type="'A'", hr_name="CAST(NULL AS STRING)")
+repeated("report_summary_month", 13, cid="CAST(NULL AS STRING)", group_flag="'0'", loan_type="'1'", entity="'KTB'")
+repeated("dms_trn_input_for_recal", 17, restructure_flag="CASE o_orderstatus WHEN 'F' THEN 'N' WHEN 'O' THEN 'Y' END")
+repeated("loan_account", 19, total_amt=amount("o_totalprice - 1"), fee_amt1=amount("2"))
+repeated("mv_ktb_day", 23, o_bs_capital_remain=amount("o_totalprice + 1"), o_bs_lawyer_fee=amount("3"))
+repeated("dms_trn_cal_int_add_day", 29, interest=amount("o_totalprice - 2"))
+repeated("contract", 31, stu_bank_code=text("o_orderkey % 37"))
+repeated("rdbbank", 5, bank_name_th="'A ' || n_name")
+repeated("person", 3, hr_title="'A'", hr_name="CAST(NULL AS STRING)")
+
+
 def ledger(t: Tables) -> Ledger:
     def relation(name: str) -> DataFrame:
         rows = reduce(DataFrame.unionByName, (d.frame(t) for d in DERIVATIONS[name]))

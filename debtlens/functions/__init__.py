@@ -5,7 +5,6 @@ from debtlens.functions.aggregates import (
     latest_by,
     neg_total,
     preferred_version,
-    sum0,
     sum_where,
 )
 from debtlens.functions.scalars import (
@@ -44,7 +43,6 @@ __all__ = [
     "neg_total",
     "nvl",
     "preferred_version",
-    "sum0",
     "sum_where",
     "total",
     "unlike",

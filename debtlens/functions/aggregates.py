@@ -19,13 +19,8 @@ def count_where(predicate: Column) -> Column:
     return F.count_if(predicate)
 
 
-def sum0(c: Column | str) -> Column:
-    """Sum with NULL terms read as 0; 0, not NULL, when every term is NULL."""
-    return F.sum(nvl(c, 0))
-
-
 def sum_where(c: Column | str, predicate: Column) -> Column:
-    """:func:`sum0` over the rows that satisfy the predicate; NULL when none does."""
+    """Sum over the rows that satisfy the predicate, NULL terms read as 0; NULL when none does."""
     return F.sum(F.when(predicate, nvl(c, 0)))
 
 

@@ -81,11 +81,11 @@ def before(c: Column | str, as_of: datetime.date | datetime.datetime) -> Column:
 
 def decode(c: Column | str, labels: Mapping[str, str], default: Column | str) -> Column:
     """Code to label; an unknown code and a NULL code both give the default (text or a column)."""
-    code = as_column(c)
-    branches = F
-    for value, label in labels.items():
-        branches = branches.when(code == value, F.lit(label))
-    return branches.otherwise(default)
+    code, branches = as_column(c), list(labels.items())
+    if not branches:
+        return default if isinstance(default, Column) else F.lit(default)
+    case = reduce(lambda case, b: case.when(code == b[0], F.lit(b[1])), branches[1:], F.when(code == branches[0][0], F.lit(branches[0][1])))
+    return case.otherwise(default)
 
 
 def missing_flag(c: Column | str, blank: str | None = "") -> Column:

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from debtlens.operators.skew import salted_left_join
+from debtlens.operators.skew import frequent_keys, salted_left_join
 
 
 def in_scope(df: DataFrame, scope: DataFrame, key: str, scope_key: str | None = None) -> DataFrame:
@@ -37,10 +38,15 @@ def left_join_many(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
     An outer join cannot split the rows of a key on its optional side over tasks. An inner
     join can, under adaptive execution, so matched and unmatched rows are made separately.
+    Whether a row is matched is looked up among the distinct right keys, its frequent keys
+    spread over salts; rows with a NULL key match nothing and are not shuffled for it.
     """
-    found = right.select(key).distinct()
-    unmatched = left.join(found, key, "left_anti")
-    return left.join(right, key).unionByName(unmatched, allowMissingColumns=True)
+    found = right.where(F.col(key).isNotNull()).select(F.col(key).alias("_found")).distinct()
+    keyed = left.where(F.col(key).isNotNull())
+    marked = salted_left_join(keyed, found, key, "_found", frequent_keys(keyed, key))
+    unmatched = marked.where(F.col("_found").isNull()).drop("_found")
+    parts = [left.join(right, key), unmatched, left.where(F.col(key).isNull())]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def lookup(

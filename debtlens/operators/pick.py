@@ -54,11 +54,12 @@ def total_over(df: DataFrame, key: str, total: Column, name: str) -> DataFrame:
 
     The value of an unordered window aggregate, NULL keys forming one group. A window would
     gather the rows of a key in one task; here totals combine on the map side and return
-    through a join that spreads the rows of frequent keys.
+    through a join that spreads the rows of frequent keys. The same aggregate says which keys
+    are frequent.
     """
-    totals = df.groupBy(F.col(key).alias("_total_key")).agg(total.alias(name))
-    joined = salted_left_join(df, totals, key, "_total_key", frequent_keys(df, key))
-    return joined.drop("_total_key")
+    totals = df.groupBy(F.col(key).alias("_total_key")).agg(total.alias(name), F.count(F.lit(1)).alias("_rows"))
+    hot = frequent_keys(totals, "_total_key", rows="_rows")
+    return salted_left_join(df, totals.drop("_rows"), key, "_total_key", hot).drop("_total_key")
 
 
 def count_over(df: DataFrame, key: str, predicate: Column, name: str) -> DataFrame:

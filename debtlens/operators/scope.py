@@ -2,7 +2,7 @@
 
 Reports reduce every fact to one row per key and then left-join it to the list. Filtering
 by key and reducing per key commute, so there are two equivalent orders, and which one is
-cheap depends only on the length of the list:
+cheap depends on the length of the list and on how much of the facts it names:
 
 * a short list is broadcast and drops foreign fact rows inside the scan tasks, before any
   shuffle;
@@ -27,6 +27,8 @@ from debtlens.functions.scalars import add0
 # Bounds of a broadcast: far below what an executor holds, and far above a usual list.
 MAX_BROADCAST_KEYS = 500_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+# Names in a filter; more become a relation.
+MAX_LITERALS = 1000
 
 
 def fits(df: DataFrame, max_rows: int = MAX_BROADCAST_KEYS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
@@ -37,12 +39,23 @@ def fits(df: DataFrame, max_rows: int = MAX_BROADCAST_KEYS, max_bytes: int = MAX
     return rows <= max_rows and (text_bytes or 0) <= max_bytes
 
 
+def named(df: DataFrame, accounts: Sequence[str], key: str = "acc_no") -> DataFrame:
+    """The rows of named keys: a filter that reaches the scan, or for many names a semi-join.
+
+    A plan repeats a filter's values in every scan, so over ``MAX_LITERALS`` names become a
+    relation, which is broadcast: the caller held them all in memory anyway.
+    """
+    if len(accounts) <= MAX_LITERALS:
+        return df.where(F.col(key).isin(list(accounts)))
+    names = df.sparkSession.createDataFrame([(a,) for a in accounts], f"_named {dict(df.dtypes)[key]}")
+    return df.join(F.broadcast(names), F.col(key) == F.col("_named"), "left_semi")
+
+
 def driver_list(
     df: DataFrame, columns: Sequence[str], accounts: Sequence[str] | None = None, key: str = "acc_no"
 ) -> DataFrame:
-    """The list's columns, optionally narrowed to named keys (the filter reaches the scan)."""
-    rows = df if accounts is None else df.where(F.col(key).isin(list(accounts)))
-    return rows.select(*columns)
+    """The list's columns, optionally narrowed to named keys."""
+    return (df if accounts is None else named(df, accounts, key)).select(*columns)
 
 
 @dataclass(frozen=True)
@@ -54,8 +67,12 @@ class Scope:
     small: bool
 
     @classmethod
-    def of(cls, rows: DataFrame, key: str = "acc_no", max_keys: int = MAX_BROADCAST_KEYS) -> Scope:
-        return cls(rows, key, fits(rows, max_keys))
+    def of(
+        cls, rows: DataFrame, key: str = "acc_no", max_keys: int = MAX_BROADCAST_KEYS, covers_most: bool = False
+    ) -> Scope:
+        """Measures the list. ``covers_most`` is the caller's hint that the list names most keys of
+        the facts: a filter would drop little then, so the list is planned as a long one, unmeasured."""
+        return cls(rows, key, not covers_most and fits(rows, max_keys))
 
     def by(self, key: str) -> Scope:
         """The same list through another of its key columns."""

@@ -18,19 +18,35 @@ from debtlens.functions.scalars import nvl
 HOT_KEYS = 1000
 
 
-def frequent_keys(df: DataFrame, key: str, one_in: int = HOT_KEYS) -> DataFrame | None:
+def frequent_keys(df: DataFrame, *keys: str, one_in: int = HOT_KEYS, rows: str | None = None):
     """The values of a key, NULL included, that hold over ``1/one_in`` of the rows.
 
     Each comes with the number of salts that cuts its rows into pieces of about that share,
-    fewer than ``2 * one_in`` pieces in all. None if there is no such value, which one count
-    by key decides, so that a join without hot keys is planned without salts.
+    fewer than ``2 * one_in`` pieces in all. None if there is no such value, so that a join
+    without hot keys is planned without salts. ``rows`` names a column that says how many rows
+    each row of ``df`` stands for, if ``df`` is an aggregate.
+
+    This runs one job, which counts all ``keys`` in one pass, and fetches the result: fewer than
+    ``one_in`` values of a key by arithmetic. Both sides of a join then see the same salts, also
+    if the table grows in between. With several keys the answer is a dict by key.
     """
-    counts = df.groupBy(F.col(key).alias("_hot_key")).count()
-    most, rows = counts.agg(F.max("count"), F.sum("count")).first()
-    if not rows or most * one_in <= rows:
-        return None
-    salts = F.ceil(F.col("count") * one_in / F.lit(rows)).cast("int")
-    return counts.where(F.col("count") * one_in > rows).select("_hot_key", salts.alias("_salts"))
+    kinds = dict(df.dtypes)
+    one_type = len({kinds[k] for k in keys}) == 1
+    value = [F.col(k) if one_type else F.col(k).cast("string") for k in keys]
+    weight = F.lit(1).cast("bigint") if rows is None else F.col(rows)
+    each = F.array(*(F.struct(F.lit(i).alias("i"), v.alias("v")) for i, v in enumerate(value)))
+    counts = df.select(F.explode(each).alias("k"), weight.alias("n")).groupBy("k.i", "k.v").agg(F.sum("n").alias("n"))
+    # With the total of each key as one more row; a total is never smaller than a count.
+    totals = counts.rollup("i", "v").agg(F.sum("n").alias("n"), F.grouping("i").alias("all"), F.grouping("v").alias("total"))
+    found = totals.where("all = 0").orderBy(F.desc("n"), F.desc("total")).limit(len(keys) * (one_in + 1)).collect()
+    every = {r["i"]: r["n"] for r in found if r["total"]}
+    answer = {}
+    for i, key in enumerate(keys):
+        hot = [(r["v"], -(-r["n"] * one_in // every[i])) for r in found if r["i"] == i and not r["total"] and r["n"] * one_in > every[i]]
+        kind = kinds[key] if one_type else "string"
+        local = df.sparkSession.createDataFrame(hot, f"_hot_key {kind}, _salts int") if hot else None
+        answer[key] = local and local.withColumn("_hot_key", F.col("_hot_key").cast(kinds[key]))
+    return answer if len(keys) > 1 else answer[keys[0]]
 
 
 def salted_left_join(
@@ -40,6 +56,8 @@ def salted_left_join(
 
     ``hot`` comes from :func:`frequent_keys` of ``df``; without hot keys this is a plain join.
     A row's salt is a hash of the row, so a task that is run again sends it to the same place.
+    Equal rows share a salt: a key whose rows are all equal is spread by adaptive execution only,
+    or by counting equal rows before the join, which is the caller's choice.
     """
     same_key = F.col(key).eqNullSafe(F.col(dim_key))
     if hot is None:

@@ -25,7 +25,7 @@ from debtlens.operators import (
 from debtlens.operators.scope import MAX_BROADCAST_KEYS
 from debtlens.sources import Ledger
 
-# Display names; {day} is the snapshot day.
+# Display names; {day} is the snapshot day as dd_mm_yyyy.
 AUDIT_LABELS = {
     "acc_no": "ACC_NO",
     "no_account_view": "ไม่พบใน MV_DMS_ACC_REPORT",
@@ -42,6 +42,12 @@ AUDIT_LABELS = {
 
 FLAGS = tuple(c for c in AUDIT_LABELS if c != "acc_no")
 
+
+def audit_labels(snapshot_date: datetime.date) -> dict[str, str]:
+    """The display names for an audit of that day's snapshot."""
+    return {c: label.format(day=snapshot_date.strftime("%d_%m_%Y")) for c, label in AUDIT_LABELS.items()}
+
+
 # A missing bank or a lack of open bills is shown, but does not put an account on the list.
 DEFAULT_TRIGGERS = tuple(f for f in FLAGS if f not in ("no_bank", "no_open_bill"))
 
@@ -96,6 +102,7 @@ def audit_missing(
     blank: str | None = "",
     repeated: bool = False,
     max_broadcast_keys: int = MAX_BROADCAST_KEYS,
+    covers_most: bool = False,
 ) -> DataFrame:
     """Ten missing-source flags per listed account that any of ``triggers`` applies to.
 
@@ -110,14 +117,22 @@ def audit_missing(
     account missing there is missing in all of them.
     """
     listed = driver_list(ledger["list_acc_broken_contract"], ["acc_no"], accounts)
-    scope = Scope.of(listed, max_keys=max_broadcast_keys)
+    scope = Scope.of(listed, max_keys=max_broadcast_keys, covers_most=covers_most)
 
     def scoped(name: str) -> DataFrame:
         return scope.prefilter(ledger[name])
 
-    banks = _contract_banks(ledger["contract"], ledger["rdbbank"])
     viewed = scoped("mv_dms_acc_report").groupBy("acc_no", "cid").agg(F.count(F.lit(1)).alias("n"))
-    hot = None if scope.small else frequent_keys(viewed, "cid")
+    contract = ledger["contract"]
+    hot = None
+    if scope.small:
+        # The persons of a short list restrict the contracts in their scan.
+        people = viewed.where(F.col("cid").isNotNull()).select(F.col("cid").alias("_person")).distinct()
+        if fits(people):
+            contract = contract.join(F.broadcast(people), F.col("cid") == F.col("_person"), "left_semi")
+    else:
+        hot = frequent_keys(viewed, "cid")
+    banks = _contract_banks(contract, ledger["rdbbank"])
     view = (
         lookup(viewed, banks, "cid", "cid", ["with_bank", "without_bank"], hot)
         .groupBy("acc_no")

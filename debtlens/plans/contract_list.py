@@ -22,7 +22,7 @@ from debtlens.operators.scope import MAX_BROADCAST_KEYS
 from debtlens.sources import Ledger
 from debtlens.sources.relations import ADDRESS
 
-# Display names. Columns not listed show under their own name in upper case.
+# Display names of all columns.
 CONTRACT_LABELS = {
     "custodian": "ดูแลบัญชีโดย",
     "acc_no": "เลขที่บัญชี",
@@ -81,6 +81,7 @@ def contract_list(
     snapshot_date: datetime.date,
     accounts: Sequence[str] | None = None,
     max_broadcast_keys: int = MAX_BROADCAST_KEYS,
+    covers_most: bool = False,
 ) -> DataFrame:
     """One row per listed account, 44 columns.
 
@@ -90,7 +91,7 @@ def contract_list(
     salted if a count by person finds it so.
     """
     listed = driver_list(ledger["list_acc_broken_contract"], ["acc_no", "cid", "cif"], accounts)
-    scope = Scope.of(listed, max_keys=max_broadcast_keys)
+    scope = Scope.of(listed, max_keys=max_broadcast_keys, covers_most=covers_most)
 
     def scoped(name: str) -> DataFrame:
         return scope.prefilter(ledger[name])
@@ -100,7 +101,10 @@ def contract_list(
     person = one_per_key(scope.by("cif").prefilter(ledger["person"]), "cif", person_columns)
     person = _prefixed(person, "pr_", ["hr_title", "hr_name", "hr_surname"])
     accounts_once = pick_one(listed, ["acc_no"], tiebreak=["cid", "cif"])
-    hot = {} if scope.small else {c: frequent_keys(accounts_once, c) for c in ("cid", "cif")}
+    # A short list has too few rows for a hot key to matter. Of a long one the raw rows are counted,
+    # in one pass: at least as many as accounts, so that every hot person among those is found
+    # unless repeated rows outweigh it, which changes no result.
+    hot = {} if scope.small else frequent_keys(listed, "cid", "cif")
     base = chain_left(
         accounts_once,
         [

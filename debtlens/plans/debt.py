@@ -47,6 +47,7 @@ def debt_report(
     snapshot_date: datetime.date,
     accounts: Sequence[str] | None = None,
     max_broadcast_keys: int = MAX_BROADCAST_KEYS,
+    covers_most: bool = False,
 ) -> DataFrame:
     """One row per listed account: dues, arrears by version, fees and payoff.
 
@@ -54,7 +55,7 @@ def debt_report(
     summary shows only for accounts that the account view knows.
     """
     listed = driver_list(ledger["list_account_f69_117"], ["acc_no", "cid"], accounts)
-    scope = Scope.of(listed, max_keys=max_broadcast_keys)
+    scope = Scope.of(listed, max_keys=max_broadcast_keys, covers_most=covers_most)
 
     def scoped(name: str) -> DataFrame:
         return scope.prefilter(ledger[name])

@@ -6,13 +6,14 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
+from debtlens.settings import configure  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (
-        SparkSession.builder.master("local[4]")
+        configure(SparkSession.builder.master("local[4]"), partitions=4)
         .appName("tests")
-        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
