@@ -17,12 +17,11 @@ import numpy as np
 import pyarrow as pa
 
 from debtlens.llm import words as W
+from debtlens.llm.known import Column, Known
 
 WORD_BPE = "word_bpe_49k.json"
 #: Distinct units that a worker keeps before it starts anew: some 30 MB.
-CACHE = 1_500_000
-#: Bytes of text put together at a time.
-SLICE = 4 << 20
+CACHE = 600_000
 
 _BYTES = np.arange(256)
 ASCII_LETTER = ((_BYTES | 32) >= 97) & ((_BYTES | 32) <= 122)
@@ -62,10 +61,8 @@ class WordIds:
         self.clear()
 
     def clear(self) -> None:
-        self.known = np.empty(0, np.uint64)
-        self.starts = np.empty(0, np.int64)
-        self.lengths = np.empty(0, np.int64)
-        self.ids = np.empty(0, np.uint16)
+        self.known = Known()
+        self.starts, self.lengths, self.ids = Column(np.int64), Column(np.int32), Column(np.uint16)
 
     def learn(self, hashes: np.ndarray, units: list[bytes], stem: np.ndarray) -> None:
         """Encode units unknown so far; ``stem`` says which are lower-case letters alone."""
@@ -80,12 +77,10 @@ class WordIds:
                 ids[i] = one.ids
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
         flat = np.fromiter((i for one in ids for i in one), np.uint16, int(lengths.sum()))
-        known = np.concatenate([self.known, hashes])
-        order = np.argsort(known, kind="stable")
-        starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
-        self.known, self.starts = known[order], starts[order]
-        self.lengths = np.concatenate([self.lengths, lengths])[order]
-        self.ids = np.concatenate([self.ids, flat])
+        self.known.add(hashes)
+        self.starts.append(self.ids.size + np.cumsum(lengths) - lengths)
+        self.lengths.append(lengths)
+        self.ids.append(flat)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each text's ids start (one more for the end)."""
@@ -121,12 +116,10 @@ class WordIds:
         named[stem] = W.hashes(lower, unit_starts[stem], unit_ends[stem])
         named[~stem] = W.mix(W.hashes(data, unit_starts[~stem], unit_ends[~stem]))
         distinct, one, back = np.unique(named, return_index=True, return_inverse=True)
-        if len(self.known) > CACHE:
+        if self.known.count > CACHE:
             self.clear()
-        where = np.searchsorted(self.known, distinct)
-        new = np.ones(len(distinct), bool)
-        inside = where < len(self.known)
-        new[inside] = self.known[where[inside]] != distinct[inside]
+        where = self.known.find(distinct)
+        new = where < 0
         if new.any():
             raw, low, one = data.tobytes(), lower.tobytes(), one[new]
             held = [
@@ -134,8 +127,8 @@ class WordIds:
                 for a, b, s in zip(unit_starts[one].tolist(), unit_ends[one].tolist(), stem[one].tolist())
             ]
             self.learn(distinct[new], held, stem[one])
-            where = np.searchsorted(self.known, distinct)
-        lengths = self.lengths[where][back]
+            where = self.known.find(distinct)
+        lengths = self.lengths[where][back].astype(np.int64)
         ids = self.ids[spread(self.starts[where][back], lengths)]
         before = np.concatenate([[0], np.cumsum(lengths)])
         return ids, before[np.concatenate([at, [len(unit_starts)]])[first]]
