@@ -8,6 +8,8 @@ salts, and the matching row is copied once per salt.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,7 +20,9 @@ from debtlens.functions.scalars import nvl
 HOT_KEYS = 1000
 
 
-def frequent_keys(df: DataFrame, *keys: str, one_in: int = HOT_KEYS, rows: str | None = None):
+def frequent_keys(
+    df: DataFrame, key: str | Sequence[str], one_in: int = HOT_KEYS, rows: str | None = None
+) -> DataFrame | None | dict[str, DataFrame | None]:
     """The values of a key, NULL included, that hold over ``1/one_in`` of the rows.
 
     Each comes with the number of salts that cuts its rows into pieces of about that share,
@@ -26,10 +30,11 @@ def frequent_keys(df: DataFrame, *keys: str, one_in: int = HOT_KEYS, rows: str |
     without hot keys is planned without salts. ``rows`` names a column that says how many rows
     each row of ``df`` stands for, if ``df`` is an aggregate.
 
-    This runs one job, which counts all ``keys`` in one pass, and fetches the result: fewer than
+    This runs one job, which counts all keys asked for in one pass, and fetches the result: fewer than
     ``one_in`` values of a key by arithmetic. Both sides of a join then see the same salts, also
-    if the table grows in between. With several keys the answer is a dict by key.
+    if the table grows in between. For a sequence of keys the answer is a dict by key.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     kinds = dict(df.dtypes)
     one_type = len({kinds[k] for k in keys}) == 1
     value = [F.col(k) if one_type else F.col(k).cast("string") for k in keys]
@@ -41,12 +46,12 @@ def frequent_keys(df: DataFrame, *keys: str, one_in: int = HOT_KEYS, rows: str |
     found = totals.where("all = 0").orderBy(F.desc("n"), F.desc("total")).limit(len(keys) * (one_in + 1)).collect()
     every = {r["i"]: r["n"] for r in found if r["total"]}
     answer = {}
-    for i, key in enumerate(keys):
+    for i, name in enumerate(keys):
         hot = [(r["v"], -(-r["n"] * one_in // every[i])) for r in found if r["i"] == i and not r["total"] and r["n"] * one_in > every[i]]
-        kind = kinds[key] if one_type else "string"
+        kind = kinds[name] if one_type else "string"
         local = df.sparkSession.createDataFrame(hot, f"_hot_key {kind}, _salts int") if hot else None
-        answer[key] = local and local.withColumn("_hot_key", F.col("_hot_key").cast(kinds[key]))
-    return answer if len(keys) > 1 else answer[keys[0]]
+        answer[name] = local and local.withColumn("_hot_key", F.col("_hot_key").cast(kinds[name]))
+    return answer[key] if isinstance(key, str) else answer
 
 
 def salted_left_join(

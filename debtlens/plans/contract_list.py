@@ -104,7 +104,7 @@ def contract_list(
     # A short list has too few rows for a hot key to matter. Of a long one the raw rows are counted,
     # in one pass: at least as many as accounts, so that every hot person among those is found
     # unless repeated rows outweigh it, which changes no result.
-    hot = {} if scope.small else frequent_keys(listed, "cid", "cif")
+    hot = {} if scope.small else frequent_keys(listed, ["cid", "cif"])
     base = chain_left(
         accounts_once,
         [

@@ -141,3 +141,11 @@ def test_bucketed_tables_need_no_fact_shuffle(spark, no_broadcast):
     assert "Exchange" not in plan(m.delinquent_bills(bills))
     expected = m.delinquent_bills(books(spark)["dms_trn_bills"])
     assert sorted(m.delinquent_bills(bills).collect()) == sorted(expected.collect())
+
+
+def test_an_audit_of_one_account_shuffles_its_contracts_only(stored, no_broadcast):
+    text = plan(audit_missing(stored, SNAPSHOT, accounts=["v1"]))
+    scan = text.index("/contract.parquet")
+    above = text[:scan]
+    # Read upwards from the scan of the contracts: the semi-join stands below the first shuffle.
+    assert above.rindex("BroadcastHashJoin [cid") > above.rindex("Exchange hashpartitioning(cid")
