@@ -42,7 +42,31 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.report(table(spark, sf_dir, "documents"))
 
 
-@query()
+@query(
+    r"""
+    WITH RECURSIVE texts AS (
+        SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x20\x09-\x0D]+') AS w
+        FROM documents
+    ), sets AS (
+        SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w]
+            ELSE list_distinct(list_transform(generate_series(1, len(w) - 4), lambda i: list_slice(w, i, i + 4))) END AS s
+        FROM texts
+    ), shingles AS (
+        SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets
+    ), links AS (
+        SELECT a.doc_id AS one, b.doc_id AS other FROM shingles a JOIN shingles b ON a.x = b.x AND a.doc_id <> b.doc_id
+        GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+    ), reached AS (
+        SELECT doc_id, doc_id AS id FROM sets
+        UNION
+        SELECT doc_id, other FROM reached JOIN links ON one = id
+    )
+    SELECT doc_id, any_value(len(s)) AS n_shingles, min(id) AS component_id, doc_id = min(id) AS kept
+    FROM sets JOIN reached USING (doc_id) GROUP BY doc_id
+    """
+)
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.components(table(spark, sf_dir, "documents"))
 
