@@ -37,6 +37,6 @@ def test_the_rest_imports_without_this_part(tmp_path):
         target = tmp_path / part
         target.parent.mkdir(parents=True, exist_ok=True)
         target.write_bytes(path.read_bytes())
-    code = "import __spark_entry__ as e; q = e.queries(); assert q and not any(n.startswith('op') for n in q); assert 'pipeline' not in q"
+    code = "import re, __spark_entry__ as e; q = e.queries(); assert q and not any(re.match(r'op[0-9]+_|pipeline', n) for n in q)"
     env = {**os.environ, "PYTHONPATH": str(tmp_path)}
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, check=True, timeout=120)
