@@ -16,13 +16,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from debtlens.llm import exact_dedup, mixing, near_dedup, packing, quality
-from debtlens.llm.scratch import stored
+from debtlens.llm.scratch import BATCH, BATCH_ROWS, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the quality classifier accepts."""
+    # The caller writes the result, so the batches of whole texts are made small for its session.
+    spark.conf.set(BATCH_ROWS, BATCH)
     return quality.accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 

@@ -102,6 +102,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ],
                 names=["doc_id", "n_shingles", "name", "buckets"],
             )
+    W.trim()
 
 
 def _full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,6 +120,7 @@ def _full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ],
                 names=["node", "shingles"],
             )
+    W.trim()
 
 
 def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

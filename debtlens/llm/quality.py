@@ -90,6 +90,7 @@ def _examples(batches):
                 ],
                 names=["shard", "place", "label", "index", "value"],
             )
+    W.trim()
 
 
 @dataclass
@@ -182,6 +183,7 @@ def scorer(spark, weights: np.ndarray | None):
             sums = np.concatenate([[0.0], np.cumsum(own[index], dtype=np.float64)])
             n = np.diff(first)
             out.append(_sigmoid(bias + (sums[first[1:]] - sums[first[:-1]]) * (SCALE / np.maximum(n, 1))))
+        W.trim()
         return pa.array(np.concatenate(out) if out else np.empty(0), pa.float64())
 
     return F.arrow_udf(score, "double")

@@ -8,9 +8,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH = 1000
+
 
 def folder(spark: SparkSession) -> str:
     """The shared folder; a temporary one only for a session without a cluster."""
@@ -27,6 +32,20 @@ def folder(spark: SparkSession) -> str:
     return held.rstrip("/")
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Rows move to and from Python workers in batches of ``BATCH`` at most while this holds.
+
+    Rows here carry whole texts: Spark's default of 10,000 is some 30 MB on either side.
+    """
+    before = spark.conf.get(BATCH_ROWS)
+    spark.conf.set(BATCH_ROWS, str(min(BATCH, int(before)) if int(before) > 0 else BATCH))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_ROWS, before)
+
+
 def place(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder."""
     return f"{folder(spark)}/{name}-{uuid.uuid4().hex}"
@@ -36,7 +55,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """The same rows, written as Parquet and read back."""
     spark = df.sparkSession
     path = place(spark, name)
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -47,7 +67,9 @@ def bucketed(df: DataFrame, name: str, buckets: int, key: str) -> DataFrame:
     """
     spark = df.sparkSession
     table = f"{name}_{uuid.uuid4().hex}"
-    df.write.bucketBy(buckets, key).option("path", place(spark, name)).format("parquet").saveAsTable(table)
+    writer = df.write.bucketBy(buckets, key).option("path", place(spark, name)).format("parquet")
+    with small_batches(spark):
+        writer.saveAsTable(table)
     return spark.table(table)
 
 

@@ -7,13 +7,14 @@ slices of about ``SLICE`` bytes, and hashing works through bounded stretches of
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled together, and bytes hashed together: small enough for the CPU's caches.
-SLICE, STRETCH = 1 << 20, 1 << 18
+SLICE, STRETCH = 1 << 19, 1 << 18
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -26,6 +27,15 @@ _MASK = (1 << 64) - 1
 _CHAIN = np.uint64(0xD6E8FEB86659FD93)
 
 
+def trim() -> None:
+    """Hand freed memory back to the system: a worker that waits for tasks should be small."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def slices(texts: pa.Array, most: int = SLICE) -> Iterator[tuple[int, int]]:
     """Ranges of rows with about ``most`` bytes of text each, one row at least."""
     _, offsets = buffers(texts)
