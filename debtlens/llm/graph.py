@@ -48,6 +48,7 @@ def linked(
     test: Callable[[DataFrame], DataFrame],
     labels: DataFrame | None = None,
     rounds: int | None = None,
+    growth: int = 4,
 ) -> tuple[DataFrame | None, DataFrame]:
     """Labels (node, component) over links between nodes that share a bucket, and what is open.
 
@@ -55,8 +56,8 @@ def linked(
     of the hub are prefixed ``hub_``). ``test`` keeps the edges (a, b) that are links. In every
     bucket the nodes of least rank are hubs, joined to the nodes after them: stars, not pairs. A
     bucket is done when the nodes after its hubs are one component already, as links between them
-    can't change anything; the others get a star round each of the next hubs, four times as many
-    as before. Edges never join nodes that are one component.
+    can't change anything; the others get a star round each of the next hubs, ``growth`` times as
+    many as before. Edges never join nodes that are one component.
 
     With ``rounds`` it stops after so many; the members of buckets that aren't done are returned.
     Without, no link between components is left out, however large the bucket. ``labels`` are
@@ -103,5 +104,5 @@ def linked(
             links = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
         # Hubs have met every node after them.
         last = chosen.groupBy("bucket").agg(F.max("place").alias("place"))
-        rows = stored(rows.join(last, "bucket").where(order > F.col("place")).drop("place"), "members")
-        hubs, done = hubs * 4, done + 1
+        rows = rows.join(last, "bucket").where(order > F.col("place")).drop("place")
+        hubs, done = hubs * growth, done + 1
