@@ -28,14 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from debtlens.llm import words as W
+from debtlens.llm.known import Column, Known
 from debtlens.llm.ship import ship
 from debtlens.llm.tokens import ASCII_LETTER, LATIN, PUNCTUATION, byte_letters, spread
 
 BYTE_BPE = "byte_bpe_50k.json"
 LIMIT = 1024
 #: Distinct pre-tokens that a worker keeps before it starts anew.
-CACHE = 3_000_000
-SLICE = 4 << 20
+CACHE = 800_000
 #: The published pattern of byte-level pre-tokens, a fixed value. White space is the Unicode
 #: property, as in the library's pattern engine.
 PATTERN = (
@@ -112,7 +112,7 @@ class Counter:
         self.clear()
 
     def clear(self) -> None:
-        self.known, self.tokens = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.known, self.tokens = Known(), Column(np.int64)
 
     def units(self, pieces: list[bytes], cut: np.ndarray) -> np.ndarray:
         """Tokens of each unit; those marked are cut by the pattern first."""
@@ -227,20 +227,16 @@ class Counter:
         named = W.hashes(data, starts, ends)
         named = np.where(cut, W.mix(named), named)  # cut or not: two units, if of equal bytes
         distinct, one, back = np.unique(named, return_index=True, return_inverse=True)
-        if len(self.known) > CACHE:
+        if self.known.count > CACHE:
             self.clear()
-        where = np.searchsorted(self.known, distinct)
-        new = np.ones(len(distinct), bool)
-        inside = where < len(self.known)
-        new[inside] = self.known[where[inside]] != distinct[inside]
+        where = self.known.find(distinct)
+        new = where < 0
         if new.any():
             one = one[new]
             pieces = [data[a:b].tobytes() for a, b in zip(starts[one].tolist(), ends[one].tolist())]
-            known = np.concatenate([self.known, distinct[new]])
-            order = np.argsort(known, kind="stable")
-            self.known = known[order]
-            self.tokens = np.concatenate([self.tokens, self.units(pieces, cut[one])])[order]
-            where = np.searchsorted(self.known, distinct)
+            self.known.add(distinct[new])
+            self.tokens.append(self.units(pieces, cut[one]))
+            where = self.known.find(distinct)
         return self.tokens[where][back]
 
 
@@ -255,7 +251,7 @@ def _counted(name: str):
         counter = counter_of(name)
         for batch in batches:
             texts = batch.column("text")
-            for a, b in W.slices(texts, SLICE):
+            for a, b in W.slices(texts):
                 sizes, tokens = counter.count(texts.slice(a, b - a))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(a, b - a), pa.array(sizes), pa.array(tokens)],

@@ -33,11 +33,14 @@ from pyspark.sql import functions as F
 
 from debtlens.llm import tokens as T
 from debtlens.llm import words as W
-from debtlens.llm.scratch import partitions, place, stored
+from debtlens.llm.scratch import partitions, place, small_batches, stored
 from debtlens.llm.ship import ship
 
 END = 1
-BLOCK = 1 << 17
+#: Ids in a block: its row stays far below the sizes that a JVM's heap keeps apart.
+BLOCK = 1 << 15
+#: Blocks that are decoded side by side.
+TOGETHER = 32
 STEP = 128
 LIMIT = 18
 
@@ -118,18 +121,24 @@ def pack(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[np.nd
     return at[::STEP], payload
 
 
-def unpack(n: int, offsets: np.ndarray, payload: bytes, table: np.ndarray, limit: int = LIMIT) -> np.ndarray:
-    """The n ids of a block; all steps advance together, one id at a time."""
-    data = np.frombuffer(payload + bytes(8), np.uint8).astype(np.uint32)
+def unpack(sizes: list[int], offsets: list[np.ndarray], payloads: list[bytes], table: np.ndarray, limit: int = LIMIT) -> list[np.ndarray]:
+    """The ids of some blocks; all steps of all blocks advance together, one id at a time."""
+    held = bytearray()
+    starts = []
+    for at, payload in zip(offsets, payloads):
+        starts.append(at.astype(np.int64) + 8 * len(held))
+        held += payload + bytes(8)
+    data = np.frombuffer(held, np.uint8).astype(np.uint32)
     windows = (data[:-3] << 24) | (data[1:-2] << 16) | (data[2:-1] << 8) | data[3:]
-    at = offsets.astype(np.int64)
+    at = np.concatenate(starts)
     out = np.empty((STEP, len(at)), np.uint32)
     last, drop = len(windows) - 1, np.uint32(32 - limit)
-    for k in range(min(STEP, n)):
+    for k in range(min(STEP, max(sizes))):
         found = table[(windows[np.minimum(at >> 3, last)] << (at & 7).astype(np.uint32)) >> drop]
         out[k] = found >> np.uint32(5)
         at += found & np.uint32(31)
-    return out.T.ravel()[:n]
+    lanes = np.cumsum([0, *map(len, starts)])
+    return [out[:, a:b].T.ravel()[:n] for n, a, b in zip(sizes, lanes[:-1], lanes[1:])]
 
 
 # --- writing ----------------------------------------------------------------------------
@@ -141,7 +150,7 @@ def _tokenise(bounds: list[int], end: int, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text")
-            for a, b in W.slices(texts, T.SLICE):
+            for a, b in W.slices(texts):
                 doc_ids = batch.column("doc_id").slice(a, b - a)
                 ids, first = T.ended(texts.slice(a, b - a), end, name)
                 held = memoryview(ids.astype("<u2")).cast("B")
@@ -157,6 +166,7 @@ def _tokenise(bounds: list[int], end: int, name: str):
                     ],
                     names=["part", "doc_id", "n", "check", "ids"],
                 )
+        W.trim()
 
     return run
 
@@ -196,6 +206,7 @@ def _blocks(size: int):
                 held.append(ids.as_py())
         if docs:
             yield block()
+        W.trim()
 
     return run
 
@@ -237,6 +248,7 @@ def _code(lengths: bytes, before: dict[int, int]):
                 ],
                 names=["part", "block", "start", "doc_ids", "sizes", "offsets", "payload"],
             )
+        W.trim()
 
     return run
 
@@ -253,7 +265,8 @@ def write(docs: DataFrame, path: str, end: int = END, tokenizer: str = T.WORD_BP
     ordered = tokens.repartitionById(parts, "part").sortWithinPartitions("part", "doc_id", "n", "check", "ids")
     raw = stored(ordered.mapInArrow(_blocks(BLOCK), RAW), "huffman_raw")
     # At most 65536 ids, and one total for each of the parts.
-    found = raw.select("ids").mapInArrow(_count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    with small_batches(spark):
+        found = raw.select("ids").mapInArrow(_count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(1 << 16, np.int64)
     for row in found:
         counts[row["id"]] = row["n"]
@@ -262,7 +275,9 @@ def write(docs: DataFrame, path: str, end: int = END, tokenizer: str = T.WORD_BP
     before, total = {}, 0
     for part, n in sorted(tuple(r) for r in sizes.collect()):
         before[part], total = total, total + n
-    raw.mapInArrow(_code(lengths.tobytes(), before), BLOCKS).write.option("compression", "none").parquet(f"{path}/blocks")
+    with small_batches(spark):
+        coded = raw.mapInArrow(_code(lengths.tobytes(), before), BLOCKS)
+        coded.write.option("compression", "none").parquet(f"{path}/blocks")
     used = [(int(i), int(lengths[i])) for i in np.flatnonzero(lengths)]
     spark.createDataFrame(used, "id int, bits int").coalesce(1).write.parquet(f"{path}/codes")
 
@@ -274,22 +289,20 @@ def _decode(lengths: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = lookup(np.frombuffer(lengths, np.uint8))
         for batch in batches:
-            for k in range(batch.num_rows):
-                row = {c: batch.column(c)[k] for c in ("start", "doc_ids", "sizes", "offsets", "payload")}
-                sizes = row["sizes"].values.to_numpy()
-                offsets = np.frombuffer(row["offsets"].as_buffer(), "<u8")
-                ids = unpack(int(sizes.sum()), offsets, row["payload"].as_py(), table)
-                held = memoryview(ids.astype("<u4")).cast("B")
-                first = np.concatenate([[0], np.cumsum(sizes)])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        row["doc_ids"].values,
-                        pa.array(first[:-1] + row["start"].as_py()),
-                        pa.array(sizes),
-                        pa.array([held[4 * a : 4 * b] for a, b in zip(first[:-1].tolist(), first[1:].tolist())], pa.binary()),
-                    ],
-                    names=["doc_id", "start", "n_tokens", "ids"],
-                )
+            for low in range(0, batch.num_rows, TOGETHER):
+                rows = batch.slice(low, TOGETHER)
+                sizes = [x.values.to_numpy() for x in rows.column("sizes")]
+                offsets = [np.frombuffer(x.as_buffer(), "<u8") for x in rows.column("offsets")]
+                payloads = rows.column("payload").to_pylist()
+                every = unpack([int(n.sum()) for n in sizes], offsets, payloads, table)
+                for n, ids, start, doc_ids in zip(sizes, every, rows.column("start"), rows.column("doc_ids")):
+                    held = memoryview(ids.astype("<u4")).cast("B")
+                    first = np.concatenate([[0], np.cumsum(n)])
+                    docs = [held[4 * a : 4 * b] for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
+                    yield pa.RecordBatch.from_arrays(
+                        [doc_ids.values, pa.array(first[:-1] + start.as_py()), pa.array(n), pa.array(docs, pa.binary())],
+                        names=["doc_id", "start", "n_tokens", "ids"],
+                    )
 
     return run
 

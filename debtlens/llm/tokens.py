@@ -20,15 +20,17 @@ from debtlens.llm import words as W
 from debtlens.llm.known import Column, Known
 
 WORD_BPE = "word_bpe_49k.json"
-#: Distinct units that a worker keeps before it starts anew: some 30 MB.
-CACHE = 600_000
+#: Distinct units that a worker keeps before it starts anew: some 20 MB.
+CACHE = 400_000
 
 _BYTES = np.arange(256)
 ASCII_LETTER = ((_BYTES | 32) >= 97) & ((_BYTES | 32) <= 122)
 PUNCTUATION = (_BYTES > 32) & (_BYTES < 127) & ~ASCII_LETTER & ~((_BYTES >= 48) & (_BYTES <= 57))
 #: Second bytes after 0xC3: the letters of Latin-1, and among them the capitals.
 LATIN = (_BYTES >= 0x80) & (_BYTES <= 0xBF) & (_BYTES != 0x97) & (_BYTES != 0xB7)
-_CAPITAL = LATIN & (_BYTES <= 0x9E)
+CAPITAL = LATIN & (_BYTES <= 0x9E)
+#: A letter counts 1 and a punctuation mark 2**21 in a running sum.
+FIELDS = ASCII_LETTER * np.int64(1) + PUNCTUATION * np.int64(1 << 21)
 
 
 def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -86,22 +88,22 @@ class WordIds:
         """All ids, and where each text's ids start (one more for the end)."""
         data, offsets = W.buffers(texts)
         starts, ends, first = W.find(data, offsets)
-        letter, latin = ASCII_LETTER[data], np.zeros(len(data), bool)
         pair = np.flatnonzero((data[:-1] == 0xC3) & LATIN[data[1:]]) if len(data) else np.empty(0, np.int64)
-        latin[pair] = latin[pair + 1] = True
-        letter |= latin
         lower = W.LOWER[data]
-        lower[pair + 1] += (_CAPITAL[data[pair + 1]] * 32).astype(np.uint8)
-
-        def counted(mask: np.ndarray) -> np.ndarray:
-            sums = np.concatenate([[0], np.cumsum(mask, dtype=np.int64)])
-            return sums[ends] - sums[starts]
-
-        turn = np.zeros(len(data), bool)  # a letter after punctuation inside a word
-        punctuation = PUNCTUATION[data]
-        turn[1:] = letter[1:] & punctuation[:-1]
-        letters, marks = counted(letter), counted(punctuation)
-        plain = (letters > 0) & (letters + marks == ends - starts) & (counted(turn) == 0) & letter[np.minimum(starts, len(data) - 1)] if len(starts) else np.empty(0, bool)
+        lower[pair + 1] += (CAPITAL[data[pair + 1]] * 32).astype(np.uint8)
+
+        # Letters, marks and turns (letters after marks) of every word, as fields of one running sum.
+        fields = FIELDS[data]
+        fields[pair] = fields[pair + 1] = 1
+        turns = np.flatnonzero((fields[1:] == 1) & (fields[:-1] == 1 << 21)) + 1
+        letter = np.zeros(len(data) + 1, bool)
+        letter[:-1] = fields == 1
+        fields[turns] += 1 << 42
+        sums = np.concatenate([[0], np.cumsum(fields)])
+        counts, size = sums[ends] - sums[starts], ends - starts
+        letters, marks = counts & ((1 << 21) - 1), (counts >> 21) & ((1 << 21) - 1)
+        # A word that could overflow a field goes through the library whole.
+        plain = (size < 1 << 20) & (letters > 0) & (letters + marks == size) & (counts >> 42 == 0) & letter[starts]
         split = plain & (marks > 0)
 
         units = 1 + split.astype(np.int64)
