@@ -18,6 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from debtlens.llm import exact_dedup, mixing, near_dedup, packing, quality
 from debtlens.llm.scratch import BATCH, BATCH_ROWS, stored
 
+#: Near copies are texts of at least this similarity.
+NEAR_PERCENT = 80
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -34,8 +37,8 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked texts, the one with the smallest id."""
-    return near_dedup.one_per_group(docs)
+    """Of each group of texts linked at ``NEAR_PERCENT``, the one with the smallest id."""
+    return near_dedup.one_per_group(docs, percent=NEAR_PERCENT)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

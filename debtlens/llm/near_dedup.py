@@ -1,7 +1,7 @@
 """Near-duplicate documents by one-permutation MinHash with optimal densification.
 
 1. Each text becomes its set of distinct word shingles, hashed to 64 bits. One permutation (the
-   hash itself) deals the shingles to ``BANDS * ROWS`` bins; a bin keeps its least hash. Empty
+   hash itself) deals the shingles to bins, bands times rows of them (see :func:`shape`); a bin keeps its least hash. Empty
    bins copy a full one, found by a fixed random probe sequence per bin (optimal densification),
    so that bins still agree with the probability that is the sets' similarity.
 2. Texts with equal sets are one node from here on. Nodes sharing a band share a bucket.
@@ -11,7 +11,8 @@
    in buckets of shared rare shingles, in further stars, until no two components of a bucket
    have nodes that could be linked and were not tested.
 
-With 32 bands of 6 rows a pair at similarity 0.85 is missed with probability (1 - 0.85^6)^32,
+Texts are linked at a similarity of ``percent`` or more. At 85 there are 32 bands of 6 rows, at 80
+there are 38 of 5: a pair at the limit is missed with probability (1 - 0.85^6)^32 or (1 - 0.8^5)^38,
 under 3 in 10 million; every other step is exact. Pairs whose set sizes already rule the
 similarity out are not tested.
 
@@ -25,7 +26,9 @@ beyond id and text are not read by :func:`report` and carried in one struct by t
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -38,38 +41,49 @@ from debtlens.llm.scratch import stored
 from debtlens.llm.ship import ship
 
 WIDTH = 5
-BANDS, ROWS = 32, 6
-BINS = BANDS * ROWS
-#: 100 * intersection >= PERCENT * union
+#: Unless the caller says otherwise: 100 * intersection >= PERCENT * union
 PERCENT = 85
+#: A pair at the limit is missed with this probability, at most.
+MISSED = 3e-7
 
-_EDGES = (np.arange(BINS + 1, dtype=object) * (1 << 64) // BINS)[:-1].astype(np.uint64)
 _ODD = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-def signatures(sets: list[np.ndarray]) -> np.ndarray:
-    """One row of ``BINS`` values per sorted, non-empty set."""
-    out = np.empty((len(sets), BINS), np.uint64)
-    full = np.empty((len(sets), BINS), bool)
+def shape(percent: int) -> tuple[int, int]:
+    """Bands and rows that find pairs of a similarity: about a third of a pair's bands agree."""
+    share = min(percent, 99) / 100
+    rows = max(1, round(math.log(0.35) / math.log(share)))
+    return math.ceil(math.log(MISSED) / math.log1p(-(share**rows))), rows
+
+
+BINS = math.prod(shape(PERCENT))
+
+
+def signatures(sets: list[np.ndarray], bins: int = BINS) -> np.ndarray:
+    """One row of ``bins`` values per sorted, non-empty set."""
+    every = bins
+    edges = (np.arange(every, dtype=object) * (1 << 64) // every).astype(np.uint64)
+    out = np.empty((len(sets), every), np.uint64)
+    full = np.empty((len(sets), every), bool)
     for i, s in enumerate(sets):
-        at = np.searchsorted(s, _EDGES)
+        at = np.searchsorted(s, edges)
         full[i] = np.append(at[1:], len(s)) > at
         out[i] = s[np.minimum(at, len(s) - 1)]
     rows, bins = np.nonzero(~full)
     attempt = 0
     while len(rows):
-        probe = W.mix(bins.astype(np.uint64) * _ODD + np.uint64(attempt)) % np.uint64(BINS)
+        probe = W.mix(bins.astype(np.uint64) * _ODD + np.uint64(attempt)) % np.uint64(every)
         hit = full[rows, probe.astype(np.int64)]
         out[rows[hit], bins[hit]] = out[rows[hit], probe[hit].astype(np.int64)]
         rows, bins, attempt = rows[~hit], bins[~hit], attempt + 1
     return out
 
 
-def buckets(signature: np.ndarray) -> np.ndarray:
-    """The bucket of each band, for rows of signatures."""
-    bands = signature.reshape(len(signature), BANDS, ROWS)
-    h = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), bands.shape[:2]).copy()
-    for k in range(ROWS):
+def buckets(signature: np.ndarray, count: int, rows: int) -> np.ndarray:
+    """The bucket of each of ``count`` bands, for rows of signatures."""
+    bands = signature.reshape(len(signature), count, rows)
+    h = np.broadcast_to(np.arange(1, count + 1, dtype=np.uint64), bands.shape[:2]).copy()
+    for k in range(rows):
         h = W.mix(h * _ODD + bands[:, :, k])
     return h.view(np.int64)
 
@@ -85,14 +99,15 @@ def _key(s: np.ndarray) -> bytes:
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sketch(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """doc_id, number of shingles, name of the set, buckets; the last two null for empty sets."""
+    count, rows = shape(percent)
     for batch in batches:
         texts = batch.column("text")
         for a, b in W.slices(texts):
             sets = _sets(texts.slice(a, b - a))
             some = [s for s in sets if len(s)]
-            bands = iter(buckets(signatures(some)).tolist() if some else [])
+            bands = iter(buckets(signatures(some, count * rows), count, rows).tolist() if some else [])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").slice(a, b - a),
@@ -123,14 +138,14 @@ def _full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     W.trim()
 
 
-def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of ``docs``."""
+def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row of ``docs``, linked at ``percent``."""
     ship(docs.sparkSession)
     plain = docs.select(
         F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("binary").alias("text")
     )
     sketches = stored(
-        plain.mapInArrow(_sketch, "doc_id long, n_shingles long, name binary, buckets array<long>"), "near_sketches"
+        plain.mapInArrow(partial(_sketch, percent=percent), "doc_id long, n_shingles long, name binary, buckets array<long>"), "near_sketches"
     )
     named = sketches.where("name IS NOT NULL AND doc_id IS NOT NULL")
     nodes = stored(
@@ -161,12 +176,12 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
         )
         both = F.size(F.array_intersect("set_a", "set_b"))
         union = F.size("set_a") + F.size("set_b") - both
-        return edges.join(right, "b").join(left, "a").where(100 * both >= PERCENT * union).select("a", "b")
+        return edges.join(right, "b").join(left, "a").where(100 * both >= percent * union).select("a", "b")
 
-    near = f"100 * least(n, hub_n) >= {PERCENT} * greatest(n, hub_n)"
+    near = f"100 * least(n, hub_n) >= {percent} * greatest(n, hub_n)"
     labels, rest = linked(members, near, confirmed, rounds=1)
-    near = f"{100 + PERCENT} * least(n - place_at, hub_n - hub_place_at) >= {PERCENT} * (n + hub_n)"
-    labels, _ = linked(_by_rare_shingles(sets, rest), near, confirmed, labels)
+    near = f"{100 + percent} * least(n - place_at, hub_n - hub_place_at) >= {percent} * (n + hub_n)"
+    labels, _ = linked(_by_rare_shingles(sets, rest, percent), near, confirmed, labels)
     if labels is None:
         labels = nodes.select("node", F.col("node").alias("component")).limit(0)
     of_name = nodes.select("name", "node").join(labels, "node", "left").select(
@@ -178,7 +193,7 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _by_rare_shingles(sets: DataFrame, rest: DataFrame) -> DataFrame:
+def _by_rare_shingles(sets: DataFrame, rest: DataFrame, percent: int) -> DataFrame:
     """The nodes of buckets that stars have not settled, in buckets of their rare shingles.
 
     With all sets in one order, rare shingles first, two sets that are similar enough share a
@@ -194,12 +209,12 @@ def _by_rare_shingles(sets: DataFrame, rest: DataFrame) -> DataFrame:
     ordered = each.join(often, "bucket").groupBy("node").agg(
         F.first("rank").alias("rank"), F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("many", "bucket"))).alias("all")
     )
-    heads = F.slice("all", 1, F.floor((100 - PERCENT) * F.col("n") / 100).cast("int") + 1)
+    heads = F.slice("all", 1, F.floor((100 - percent) * F.col("n") / 100).cast("int") + 1)
     rows = ordered.select("node", "rank", "n", F.posexplode(heads).alias("place_at", "s"))
     rows = rows.where("s.many > 1").select("node", "rank", "n", "place_at", F.col("s.bucket").alias("bucket"))
     rows = stored(rows, "near_heads")
     least = rows.groupBy("bucket").agg(F.min("n").alias("least"))
-    room = F.expr(f"{100 + PERCENT} * (n - place_at) >= {PERCENT} * (n + least)")
+    room = F.expr(f"{100 + percent} * (n - place_at) >= {percent} * (n + least)")
     return rows.join(least, "bucket").where(room).drop("least")
 
 
@@ -217,9 +232,9 @@ def _named(sketches: DataFrame, of_name: DataFrame) -> DataFrame:
     return lone.unionByName(join_counted(some, side, "name", "many", "doc_id").select("doc_id", "n_shingles", "component_id"))
 
 
-def one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that stay, one per group, with its columns."""
-    found = components(docs, doc_id, text)
+    found = components(docs, doc_id, text, percent)
     gone = stored(found.where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct(), "near_gone")
     whole = docs.select(F.col(f"`{doc_id}`").cast("long").alias("_id"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"))
     return whole.join(gone, F.col("_id") == F.col("_gone"), "left_anti").select("_row.*")

@@ -68,7 +68,7 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.components(table(spark, sf_dir, "documents"))
+    return near_dedup.components(table(spark, sf_dir, "documents"), percent=85)
 
 
 @query()

@@ -2,10 +2,11 @@
 
 import random
 
+import corpus_pipeline
 from messy import frame
 from test_llm_dedup import distance, normal
 
-from debtlens.llm import line_dedup
+from debtlens.llm import line_dedup, near_dedup
 
 
 def test_similar_lines_go_whatever_their_simhash(spark):
@@ -24,3 +25,13 @@ def test_similar_lines_go_whatever_their_simhash(spark):
     assert len(similar) >= 50
     assert sum(left[i] == "" for i in similar) >= 0.9 * len(similar)
     assert all(left[i] == text for i, text, *_ in data if i not in similar)
+
+
+def test_the_stage_drops_near_copies_from_a_similarity_of_80_percent(spark):
+    w = [f"w{i}" for i in range(204)]
+    # 200 shingles each; of n other words at the end 200 - n are shared: 178 of 222 are 80.2 percent.
+    data = [(9, w), (10, w[:182] + [f"x{i}" for i in range(22)]), (11, w[:181] + [f"y{i}" for i in range(23)])]
+    df = frame(spark, [(i, " ".join(words), None, None, None) for i, words in data])
+    kept = corpus_pipeline.drop_near_copies(spark, df, "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == [9, 11]
+    assert near_dedup.components(df).where("kept").count() == 3
