@@ -4,9 +4,14 @@ A page becomes its text blocks in page order, each with its path of open element
 Per path, over the whole page: blocks, characters outside links and punctuation. Two ratios,
 characters and punctuation per block, are smoothed over the paths in the order they first appear and fused into
 one weight by a product; running prose is high in both, link lists in neither. Structure enters
-as a prior: blocks below elements that name themselves as other than content (``nav``, a class
-``ad``, ...) have none, and where a page marks its article, paths inside gain weight and paths
-outside lose most of theirs. Content are the paths with ``THRESHOLD`` of the heaviest weight.
+as a prior: paths below elements that name themselves as other than content (``nav``, a class
+``ad``, ...) lose nearly all of their weight, and where a page marks its article, paths inside gain
+weight and paths outside lose most of theirs. Content are the paths with ``THRESHOLD`` of the
+heaviest weight.
+
+A name doesn't count on an element that holds over half of the page's text outside links, nor on the
+page's ``main`` or outermost ``article``. Where all of these are below names, they are not below
+them: what surrounds an article is a frame. Only what is never shown as text has no blocks.
 
 Defined results. Null and empty pages, and pages without content, give the empty string. In a
 block white space becomes one space, at its ends none; blocks are joined by line feeds; ``br``
@@ -29,6 +34,8 @@ from pyspark.sql import functions as F
 from debtlens.llm.ship import ship
 
 THRESHOLD = 0.1
+#: What is left of the weight of a path below a name.
+NAMED = 0.005
 #: Where a page marks its article: what that adds to a path inside, as a share of the heaviest
 #: weight, and what is left of the weight of a path outside.
 ARTICLE, ASIDE = 1.0, 0.05
@@ -59,10 +66,9 @@ CLOSING = {tag: (closed, limit) for tags, closed, limit in CLOSES for tag in tag
 #: A paragraph ends where a block starts, unless the block is inside one of these.
 P_LIMIT = {"button", "caption", "object", "table", "td", "th"}
 
-OTHER = frozenset(
-    "aside button datalist dialog fieldset footer form head header menu nav noscript object "
-    "search select svg template".split()
-) | RAW
+#: Elements that are other than content, and those that are not even shown as text.
+OTHER = frozenset("aside dialog fieldset footer form header menu nav search".split())
+UNSEEN = frozenset("button datalist head noscript object select svg template".split()) | RAW
 CONTENT = frozenset(["article", "main"])
 #: Words in class, id or role that mark other than content.
 NAMES = frozenset(
@@ -96,16 +102,19 @@ def _other(name: str, rest: str) -> bool:
     return False
 
 
-#: Text, path, whether inside an article, and the share of the text that is not a link's.
-Block = tuple[str, tuple[str, ...], bool, float]
+#: Path, whether inside an article, and whether below a name that counts.
+Path = tuple[tuple[str, ...], bool, bool]
+#: Text, path, and the share of the text that is not a link's.
+Block = tuple[str, Path, float]
 
 
 def blocks(page: str) -> list[Block]:
-    """Every non-empty block that may be content."""
-    found: list[Block] = []
+    """Every non-empty block that is shown."""
+    found: list[tuple[str, tuple[str, ...], int, float]] = []
     names: list[str] = []
-    others: list[bool] = []  # per open element: it or one above it is other than content
-    inside: list[bool] = []  # per open element: it or one above it is an article
+    unseen: list[bool] = []  # per open element: it or one above it is not shown
+    frames: list[int] = []  # per open element: the innermost frame it is in
+    every = Frames()
     parts: list[str] = []
     links = 0  # open links
     plain: list[int] = []  # of every part: its length, 0 in a link
@@ -116,22 +125,23 @@ def blocks(page: str) -> list[Block]:
             text = " ".join(unescape("".join(parts)).split())
             parts.clear()
             plain.clear()
-            if text and not (others and others[-1]):
+            if text and not (unseen and unseen[-1]):
                 path = tuple(n for n in names if n in BLOCK)
-                found.append((text, path, bool(inside and inside[-1]), share))
+                found.append((text, path, frames[-1] if frames else 0, share))
 
     def close(depth: int) -> None:
         nonlocal links
-        if any(n in BLOCK for n in names[depth:]) or (others and others[-1]):
+        outer = frames[depth - 1] if depth else 0
+        if any(n in BLOCK for n in names[depth:]) or (unseen and unseen[-1]) or frames[-1] != outer:
             flush()
         links -= names[depth:].count("a")
-        del names[depth:], others[depth:], inside[depth:]
+        del names[depth:], unseen[depth:], frames[depth:]
 
     at, n = 0, len(page)
     while at < n:
         hit = _TAG.search(page, at)
         text = page[at : hit.start()] if hit else page[at:]
-        if text and not (others and others[-1]):
+        if text and not (unseen and unseen[-1]):
             parts.append(text)
             plain.append(0 if links else len(text))
         if not hit:
@@ -172,43 +182,93 @@ def blocks(page: str) -> list[Block]:
         if name in RAW:
             end = re.compile(f"</{re.escape(name)}(?=[\\s/>])", re.I).search(page, at)
             at = end.start() if end else n
-        other = _other(name, hit["rest"])
-        if other:
+        frame = frames[-1] if frames else 0
+        hidden = name in UNSEEN
+        named = not hidden and _other(name, hit["rest"])
+        if hidden or named:
             flush()
+        if named or name in CONTENT:
+            frame = every.add(frame, name, named)
         names.append(name)
         links += name == "a"
-        others.append(other or bool(others and others[-1]))
-        inside.append(name in CONTENT or bool(inside and inside[-1]))
+        unseen.append(hidden or bool(unseen and unseen[-1]))
+        frames.append(frame)
     flush()
-    return found
+    held = [0.0] * len(every.above)
+    for text, _, frame, plain in found:
+        held[frame] += plain * len(text)
+    below = every.below_names(held)
+    return [(text, (path, every.article[frame], below[frame]), plain) for text, path, frame, plain in found]
 
 
-def content_paths(found: list[Block]) -> set[tuple[tuple[str, ...], bool]]:
-    """The paths (and whether inside an article) whose weight is high enough."""
-    totals: dict[tuple[tuple[str, ...], bool], list[float]] = {}
-    for text, path, article, plain in found:
-        held = totals.setdefault((path, article), [0, 0, 0])
-        held[0] += 1
-        held[1] += plain * len(text)
-        held[2] += plain * len(_PUNCTUATION.findall(text))
-    if not totals:
-        return set()
-    n, chars, marks = np.array(list(totals.values()), float).T
+class Frames:
+    """The elements of a page that are an article's or have a name; number 0 is the page."""
+
+    def __init__(self):
+        self.above, self.tags, self.named, self.article = [0], [""], [False], [False]
+
+    def add(self, above: int, tag: str, named: bool) -> int:
+        self.above.append(above)
+        self.tags.append(tag)
+        self.named.append(named)
+        self.article.append(tag in CONTENT or self.article[above])
+        return len(self.above) - 1
+
+    def below_names(self, held: list[float]) -> list[bool]:
+        """Per frame, whether it is below a name that counts; ``held`` is the plain text of its own."""
+        held, n = held.copy(), len(held)
+        for k in range(n - 1, 0, -1):
+            held[self.above[k]] += held[k]
+        outermost = [tag in CONTENT and (tag == "main" or not self.article[a]) for tag, a in zip(self.tags, self.above)]
+        counts = [self.named[k] and not outermost[k] and 2 * held[k] <= held[0] for k in range(n)]
+        articles = [k for k in range(n) if outermost[k] and held[k]]
+        articles = [k for k in articles if self.tags[k] == "main"] or articles
+
+        def down(free: set[int]) -> list[bool]:
+            out = [False] * n
+            for k in range(1, n):
+                out[k] = counts[k] or (out[self.above[k]] and k not in free)
+            return out
+
+        below = down(set())
+        return down(set(articles)) if all(below[k] for k in articles) else below
+
+
+def _weights(paths: dict[Path, list[float]]) -> np.ndarray:
+    n, chars, marks = np.array(list(paths.values()), float).reshape(-1, 3).T
     # Log ratios: one very long block is not to hide the others.
     ratios = [np.log1p(chars / n), np.log1p(marks / n)]
     # Each path counts by its own value or its neighbourhood's, so prose split by tags is kept.
     smooth = [np.maximum(r, np.convolve(np.pad(r, 2), BELL, "valid")) for r in ratios]
-    weight = smooth[0] * (0.1 + smooth[1])
-    article = np.array([a for _, a in totals])
-    if article.any():
-        weight = np.where(article, weight + ARTICLE * weight.max(), weight * ASIDE)
-    return {p for p, w in zip(totals, weight) if w >= THRESHOLD * weight.max()}
+    return smooth[0] * (0.1 + smooth[1])
+
+
+def content_paths(found: list[Block]) -> set[Path]:
+    """The paths whose weight is high enough."""
+    clear: dict[Path, list[float]] = {}
+    below: dict[Path, list[float]] = {}  # names: no neighbours of the others
+    for text, path, plain in found:
+        held = (below if path[2] else clear).setdefault(path, [0, 0, 0])
+        held[0] += 1
+        held[1] += plain * len(text)
+        held[2] += plain * len(_PUNCTUATION.findall(text))
+    weights: dict[Path, float] = {}
+    marked = any(article for _, article, _ in clear or below)
+    for paths, share in ((clear, 1.0), (below, NAMED)):
+        if paths:
+            weight = _weights(paths)
+            if marked:
+                article = np.array([a for _, a, _ in paths])
+                weight = np.where(article, weight + ARTICLE * weight.max(), weight * ASIDE)
+            weights.update(zip(paths, share * weight))
+    least = THRESHOLD * max(weights.values(), default=0)
+    return {p for p, w in weights.items() if w >= least}
 
 
 def main_text(page: str | None) -> str:
     found = blocks(page or "")
     content = content_paths(found)
-    return "\n".join(text for text, path, article, _ in found if (path, article) in content)
+    return "\n".join(text for text, path, _ in found if path in content)
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

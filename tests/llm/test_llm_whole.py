@@ -3,10 +3,11 @@
 import random
 
 import corpus_pipeline
+import pytest
 from messy import frame
 from test_llm_dedup import distance, normal
 
-from debtlens.llm import line_dedup, near_dedup
+from debtlens.llm import html_text, line_dedup, near_dedup
 
 
 def test_similar_lines_go_whatever_their_simhash(spark):
@@ -35,3 +36,24 @@ def test_the_stage_drops_near_copies_from_a_similarity_of_80_percent(spark):
     kept = corpus_pipeline.drop_near_copies(spark, df, "")
     assert sorted(r["doc_id"] for r in kept.collect()) == [9, 11]
     assert near_dedup.components(df).where("kept").count() == 3
+
+
+STORY = "".join(f"<p>Paragraph {i} of the story, told at some length; it has commas, and ends here.</p>" for i in range(4))
+FRAMES = [
+    "<div class='content-sidebar-wrap'><main>{}</main><aside><p>Aside, a word.</p></aside></div>",
+    "<nav>Home, there</nav><div class='has-sidebar'>{}<div class=sidebar><p>Read this, too.</p></div></div><footer>(c) 2020</footer>",
+    "<main class='with-comments'>{}<div class='comments'><p>First, of all!</p></div></main>",
+    "<article class='related-story'>{}<article class='comment'><p>First, of all!</p></article></article>",
+    "<form action='/'>{}<footer>Imprint, and more.</footer></form>",
+    "<div class='sidebar'><article>{}</article></div><div>" + "<p>Other text, of the page; as long as the story, or longer. </p>" * 9 + "</div>",
+    "<main>{}</main><aside class='related'><article><p>Another story, in short.</p></article></aside>",
+    "<p>Tip.</p><div class='header'>{}</div>",
+    "<div class='widget'>{}</div><div class='widget'>{}</div>",
+]
+
+
+@pytest.mark.parametrize("frame", FRAMES)
+def test_articles_in_frames_with_names(frame):
+    story = STORY.replace("</p><p>", "\n")[3:-4]
+    text = html_text.main_text(f"<html><body>{frame.replace('{}', STORY)}</body></html>")
+    assert text.replace("Tip.\n", "") == "\n".join([story] * frame.count("{}"))
