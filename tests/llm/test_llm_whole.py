@@ -3,6 +3,7 @@
 import random
 
 import corpus_pipeline
+import pyarrow as pa
 import pytest
 from messy import frame
 from test_llm_dedup import distance, normal
@@ -57,3 +58,10 @@ def test_articles_in_frames_with_names(frame):
     story = STORY.replace("</p><p>", "\n")[3:-4]
     text = html_text.main_text(f"<html><body>{frame.replace('{}', STORY)}</body></html>")
     assert text.replace("Tip.\n", "") == "\n".join([story] * frame.count("{}"))
+
+
+def test_lengths_of_lines_are_counted_in_characters():
+    line = "abcdefghij" * 10
+    wide = line[:90] + "漢字文章段落行列語句"  # an edit similarity of 0.9, but 120 bytes
+    assert line_dedup.sketch(pa.array([line, wide, None, "É, 1 é!\n\nx"]))[4].tolist() == [100, 100, 5, 1]
+    assert line_dedup.sketch(pa.array(["", None]))[4].tolist() == []
