@@ -1,10 +1,12 @@
 """Near-duplicate documents by one-permutation MinHash with optimal densification.
 
 1. Each text becomes its set of distinct word shingles, hashed to 64 bits. One permutation (the
-   hash itself) deals the shingles to bins, bands times rows of them (see :func:`shape`); a bin keeps its least hash. Empty
-   bins copy a full one, found by a fixed random probe sequence per bin (optimal densification),
-   so that bins still agree with the probability that is the sets' similarity.
-2. Texts with equal sets are one node from here on. Nodes sharing a band share a bucket.
+   hash itself) deals the shingles to bins, bands times rows of them (see :func:`shape`); a bin
+   keeps its least hash. Empty bins copy a full one, found by a fixed random probe sequence per
+   bin (optimal densification), so that bins still agree with the probability that is the sets'
+   similarity.
+2. Texts with equal sets are one node from here on, named by 64 bits of the set's hash. Nodes
+   sharing a band share a bucket. The nodes of one ``doc_id`` are linked from the start.
 3. Every bucket links its nodes by a star round the node that is most like the others (see
    :func:`debtlens.llm.graph.linked`); every edge is confirmed on the full shingle sets.
 4. Buckets that hold several components after that are settled exactly: their nodes meet again
@@ -18,7 +20,8 @@ similarity out are not tested.
 
 Defined results. Null, empty and blank texts have no shingles and are linked with nothing; texts
 of fewer words than a shingle have one, their whole sequence. Rows that share a ``doc_id`` are
-one document with several texts: all carry the same component. A row without ``doc_id`` has no
+one document with several texts: all carry the same component, blank ones too, and stay or go
+together. A component has the least ``doc_id`` of its texts. A row without ``doc_id`` has no
 name to link: its component is null and it is kept. Empty tables give empty results. Columns
 beyond id and text are not read by :func:`report` and carried in one struct by the others.
 """
@@ -36,7 +39,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from debtlens.llm import words as W
+from debtlens.llm.graph import components as linked_by
 from debtlens.llm.graph import linked
+from debtlens.llm.hot import join_counted
 from debtlens.llm.scratch import stored
 from debtlens.llm.ship import ship
 
@@ -121,23 +126,26 @@ def _sketch(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
 
 
 def _full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The shingle sets of the texts whose set has the name asked for."""
+    """Node and shingle set of every text that has one."""
     for batch in batches:
         texts = batch.column("text")
         for a, b in W.slices(texts):
             sets = _sets(texts.slice(a, b - a))
-            asked = batch.column("name").slice(a, b - a).to_pylist()
-            right = np.array([len(s) > 0 and _key(s) == k for s, k in zip(sets, asked)], bool)
+            some = [s for s in sets if len(s)]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id").slice(a, b - a).filter(pa.array(right)),
-                    pa.array([s.view(np.int64) for s, r in zip(sets, right) if r], pa.list_(pa.int64())),
+                    pa.array([int.from_bytes(_key(s)[:8], "big", signed=True) for s in some], pa.int64()),
+                    pa.array([s.view(np.int64) for s in some], pa.list_(pa.int64())),
                 ],
                 names=["node", "shingles"],
             )
     W.trim()
 
 
+#: The first 64 bits of a set's name.
+_NODE = "cast(conv(hex(substring(name, 1, 8)), 16, -10) as long)"
+
+
 def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs``, linked at ``percent``."""
     ship(docs.sparkSession)
@@ -147,10 +155,10 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", perc
     sketches = stored(
         plain.mapInArrow(partial(_sketch, percent=percent), "doc_id long, n_shingles long, name binary, buckets array<long>"), "near_sketches"
     )
-    named = sketches.where("name IS NOT NULL AND doc_id IS NOT NULL")
+    named = sketches.where("name IS NOT NULL AND doc_id IS NOT NULL").withColumn("node", F.expr(_NODE))
     nodes = stored(
-        named.groupBy("name").agg(
-            F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("buckets").alias("buckets")
+        named.groupBy("name", "node").agg(
+            F.min("doc_id").alias("first"), F.first("n_shingles").alias("n"), F.first("buckets").alias("buckets")
         ),
         "near_nodes",
     )
@@ -160,12 +168,10 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", perc
     # Hubs come first: a node in large buckets is like most of its group.
     ranks = members.groupBy("node").agg((-F.sum("many")).alias("rank"))
     members = members.drop("many").join(ranks, "node")
-    # The text of a node is that of its smallest document; only such texts are read again.
-    wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select(
-        F.col("node").alias("doc_id"), "name"
-    )
+    # The text of a node is one of its smallest document's; only such documents are read again.
+    wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select(F.col("first").alias("doc_id")).distinct()
     sets = stored(
-        plain.join(wanted, "doc_id").mapInArrow(_full, "node long, shingles array<long>").dropDuplicates(["node"]),
+        plain.join(wanted, "doc_id", "left_semi").mapInArrow(_full, "node long, shingles array<long>").dropDuplicates(["node"]),
         "near_sets",
     )
 
@@ -179,20 +185,31 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", perc
         return edges.join(right, "b").join(left, "a").where(100 * both >= percent * union).select("a", "b")
 
     near = f"100 * least(n, hub_n) >= {percent} * greatest(n, hub_n)"
-    labels, rest = linked(members, near, confirmed, rounds=1)
+    labels, rest = linked(members, near, confirmed, _of_one_document(named.select("doc_id", "node")), rounds=1)
     near = f"{100 + percent} * least(n - place_at, hub_n - hub_place_at) >= {percent} * (n + hub_n)"
     labels, _ = linked(_by_rare_shingles(sets, rest, percent), near, confirmed, labels)
+    own = nodes.select("name", "node", "first")
     if labels is None:
-        labels = nodes.select("node", F.col("node").alias("component")).limit(0)
-    of_name = nodes.select("name", "node").join(labels, "node", "left").select(
-        "name", F.coalesce("component", "node").alias("component_id")
-    )
+        of_name = own.select("name", F.col("first").alias("component_id"))
+    else:
+        least = labels.join(own, "node").groupBy("component").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("nodes"))
+        labels = join_counted(labels, stored(least, "near_least"), "component", "nodes", "node").select("node", "component_id")
+        of_name = own.join(labels, "node", "left").select("name", F.coalesce("component_id", "first").alias("component_id"))
     # Many copies share a name, so their rows are counted before they are joined.
     return _named(sketches, of_name).select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def _of_one_document(named: DataFrame) -> DataFrame | None:
+    """Labels of the nodes of documents with several sets, None if there are none; ``named`` has doc_id and node."""
+    ids = named.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("most"), F.count(F.lit(1)).alias("many"))
+    ids = stored(ids.where("a < most").select("doc_id", "a", "many"), "near_documents")
+    if ids.isEmpty():
+        return None
+    return stored(linked_by(join_counted(named, ids, "doc_id", "many", "node").select("a", F.col("node").alias("b"))), "labels")
+
+
 def _by_rare_shingles(sets: DataFrame, rest: DataFrame, percent: int) -> DataFrame:
     """The nodes of buckets that stars have not settled, in buckets of their rare shingles.
 
@@ -219,17 +236,22 @@ def _by_rare_shingles(sets: DataFrame, rest: DataFrame, percent: int) -> DataFra
 
 
 def _named(sketches: DataFrame, of_name: DataFrame) -> DataFrame:
-    from debtlens.llm.hot import join_counted
-
+    """doc_id, n_shingles and component_id of every row; blank texts have their document's."""
     rows = sketches.select("doc_id", "n_shingles", "name")
-    lone = rows.where("name IS NULL OR doc_id IS NULL").select(
-        "doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id")
-    )
     some = rows.where("name IS NOT NULL AND doc_id IS NOT NULL")
     side = stored(
         some.groupBy("name").agg(F.count(F.lit(1)).alias("many")).join(of_name, "name"), "near_named"
     )
-    return lone.unionByName(join_counted(some, side, "name", "many", "doc_id").select("doc_id", "n_shingles", "component_id"))
+    found = join_counted(some, side, "name", "many", "doc_id").select("doc_id", "n_shingles", "component_id")
+    lone = rows.where("name IS NULL OR doc_id IS NULL").select("doc_id", "n_shingles")
+    blank = stored(lone.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("many")), "near_blank")
+    nameless = lone.where("doc_id IS NULL").withColumn("component_id", F.lit(None).cast("long"))
+    if blank.isEmpty():
+        return found.unionByName(nameless)
+    of_id = found.groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
+    of_id = stored(blank.join(of_id, "doc_id", "left"), "near_blank")
+    blanks = join_counted(lone.where("doc_id IS NOT NULL").withColumn("at", F.monotonically_increasing_id()), of_id, "doc_id", "many", "at")
+    return found.unionByName(blanks.select("doc_id", "n_shingles", "component_id")).unionByName(nameless)
 
 
 def one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:

@@ -1,12 +1,13 @@
 """Whole results, against brute force that knows nothing of how they are found."""
 
 import random
+from collections import Counter
 
 import corpus_pipeline
 import pyarrow as pa
 import pytest
-from messy import frame
-from test_llm_dedup import distance, normal
+from messy import edited, frame, sentence
+from test_llm_dedup import distance, near, normal
 
 from debtlens.llm import html_text, line_dedup, near_dedup
 
@@ -65,3 +66,14 @@ def test_lengths_of_lines_are_counted_in_characters():
     wide = line[:90] + "漢字文章段落行列語句"  # an edit similarity of 0.9, but 120 bytes
     assert line_dedup.sketch(pa.array([line, wide, None, "É, 1 é!\n\nx"]))[4].tolist() == [100, 100, 5, 1]
     assert line_dedup.sketch(pa.array(["", None]))[4].tolist() == []
+
+
+def test_documents_with_several_texts_link_through_each(spark):
+    rng = random.Random(7)
+    a, b, c = (sentence(rng, 80) for _ in range(3))
+    data = [(1, a), (1, b), (1, ""), (3, edited(rng, b, 1)), (4, edited(rng, a, 1)), (4, "  "), (4, c), (6, edited(rng, c, 1))]
+    data += [(7, c + " more"), (7, a.upper()), (8, "alone"), (8, None), (9, None), (9, "")]
+    data = [(i, text, None, None, None) for i, text in data]
+    found = near_dedup.components(frame(spark, data)).collect()
+    assert Counter(map(tuple, found)) == near(data)
+    assert {r["doc_id"] for r in found if r["component_id"] == 1} == {1, 3, 4, 6, 7}
