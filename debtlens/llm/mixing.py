@@ -12,6 +12,10 @@ a seeded permutation of its blocks, and within each block of its documents. Whol
 whole; the last one is cut at the first document that reaches what is owed. So with the default
 budget no document is left out, and no source is read more than one document over its quota.
 
+Weights and quotas are columns of a table with one row per source; the driver gets four sums of it
+and, for a target entropy, a few more per step of the search. With few sources it is broadcast, else
+joined with the sources that hold many rows cut in pieces.
+
 All prefix sums run over blocks first, a small table, and over documents only in the block where
 a source's quota ends. Tokens are words here, runs of characters other than space and 0x09-0x0D,
 and one for the end of the document.
@@ -30,6 +34,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from debtlens.llm.hot import join_counted
 from debtlens.llm.scratch import stored
 
 SPACE = r"[\x20\x09-\x0D]+"
@@ -38,8 +43,10 @@ BLOCK = 4096
 #: The most repeated source is read this often, at most.
 REPEATS = 1.5
 STEPS = 60
-#: Weights are found and handed out by source, on the driver: with more sources it refuses.
-MOST_SOURCES = 100_000
+#: The table of sources is broadcast up to this many.
+FEW_SOURCES = 100_000
+#: Exponents tried at once in the search for an entropy.
+TRIED = 64
 
 
 # --- weights ----------------------------------------------------------------------------
@@ -106,6 +113,59 @@ def plan(
     return Plan(exponent, of, quotas)
 
 
+def planned(
+    totals: DataFrame, most_repeats: float | None = REPEATS, target_entropy: float | None = None, budget: int | None = None
+) -> DataFrame:
+    """``totals`` (with one row per source and its ``total``) with the weights and quotas of :func:`plan`."""
+    found = totals.agg(F.min("total"), F.max("total"), F.sum(F.col("total").cast("decimal(38,0)"))).first()
+    if found[0] is None:
+        return totals.withColumn("weight", F.lit(0.0)).withColumn("quota", F.lit(0).cast("long"))
+    low, high, every = int(found[0]), int(found[1]), int(found[2])
+    if target_entropy is not None:
+        exponent = _exponent_for_entropy(totals, high, target_entropy)
+    else:
+        # The ratio of weight to share falls with the share: least and most repeated are the ends.
+        exponent = exponent_for({"low": low / every, "high": high / every} if low < high else {"high": 1.0}, most_repeats)
+    power = F.pow(F.col("total") / F.lit(float(high)), F.lit(exponent))
+    of = power / F.lit(_exact_sum(totals, [power])[0])
+    if budget is None:
+        # The largest source is repeated least: read exactly once, it sets the budget.
+        quota = F.greatest(F.col("total"), F.rint(power * F.lit(float(high))).cast("long"))
+    else:
+        quota = F.rint(of * F.lit(float(budget))).cast("long")
+    return totals.withColumn("weight", of).withColumn("quota", quota)
+
+
+def _exact_sum(totals: DataFrame, columns: list) -> list[float]:
+    """Sums of numbers of at most 64, the same in whatever order the rows come."""
+    exact = [F.sum((c * F.lit(2.0**56)).cast("decimal(20,0)")) for c in columns]
+    return [int(x) / 2.0**56 for x in totals.agg(*(x.alias(f"s{i}") for i, x in enumerate(exact))).first()]
+
+
+def _exponent_for_entropy(totals: DataFrame, high: int, target: float) -> float:
+    """The least exponent whose weights have the entropy or less, as :func:`exponent_for`."""
+    share = F.col("total") / F.lit(float(high))
+
+    def entropies(exponents: list[float]) -> list[float]:
+        powers = [F.pow(share, F.lit(a)) for a in exponents]
+        sums = _exact_sum(totals, powers + [-p * F.log(share) for p in powers])
+        n = len(exponents)
+        # Of weights p**a / z: log(z) - a * sum(p**a * log(p)) / z.
+        return [math.log(z) + a * held / z for a, z, held in zip(exponents, sums[:n], sums[n:])]
+
+    at, end = 0.0, 1.0
+    if entropies([at])[0] <= target:
+        return at
+    while True:
+        tried = [at + (end - at) * k / TRIED for k in range(1, TRIED)]
+        tried = [a for a in tried if at < a < end]
+        if not tried:
+            return end
+        passes = [h <= target for h in entropies(tried)]
+        first = passes.index(True) if True in passes else len(tried)
+        at, end = ([at] + tried)[first], (tried + [end])[first]
+
+
 # --- the schedule -----------------------------------------------------------------------
 
 
@@ -120,27 +180,32 @@ def counted(docs: DataFrame, text: str = "text", source: str = "source", carry:
     )
 
 
-def schedule(rows: DataFrame, quotas: dict, seed: int = 0) -> DataFrame:
-    """key, source, tokens, epoch, place_block and place for every reading of a row of ``rows``.
+def _with_source(rows: DataFrame, sources: DataFrame, few: bool) -> DataFrame:
+    """``rows`` with the columns of their source; ``sources`` has one row each, with the number ``n`` of its rows."""
+    if few:
+        return rows.join(F.broadcast(sources), rows.source.eqNullSafe(sources.source)).drop(sources.source)
+    # Null is a source like others, so it needs a name.
+    named = F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))
+    side = sources.select(named.alias("named"), *(c for c in sources.columns if c != "source"))
+    return join_counted(rows.withColumn("named", named), side, "named", "n", "key").drop("named")
 
-    ``rows`` has key, source and tokens. Readings of one source come in order of epoch,
-    place_block and place.
+
+def schedule(rows: DataFrame, sources: DataFrame, few: bool, seed: int = 0) -> DataFrame:
+    """key, source, tokens, weight, epoch, place_block and place for every reading of a row of ``rows``.
+
+    ``rows`` has key, source and tokens; ``sources`` has source, total, n, weight and quota. Readings
+    of one source come in order of epoch, place_block and place.
     """
-    spark = rows.sparkSession
-    stats = rows.groupBy("source").agg(F.sum("tokens").alias("total"), F.count(F.lit(1)).alias("n"))
-    # One row per source that the caller named; at most MOST_SOURCES.
-    owed = spark.createDataFrame([(s, int(q)) for s, q in quotas.items()], "source string, quota long")
-    stats = stats.join(F.broadcast(owed), stats.source.eqNullSafe(owed.source)).drop(owed.source)
     per = stored(
-        stats.select(
-            "source", "total", "quota",
+        sources.select(
+            "source", "n", "weight",
             F.ceil(F.col("n") / BLOCK).cast("long").alias("blocks"),
             F.expr("quota div total").alias("whole"),
             F.expr("quota % total").alias("part"),
         ),
-        "mixing_sources",
+        "mixing_plan",
     )
-    dealt = rows.join(F.broadcast(per), rows.source.eqNullSafe(per.source)).drop(per.source)
+    dealt = _with_source(rows, per, few)
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("key", F.lit(seed)), F.col("blocks")))
 
     # Whole epochs: every document once in each.
@@ -163,7 +228,7 @@ def schedule(rows: DataFrame, quotas: dict, seed: int = 0) -> DataFrame:
     last = inside.unionByName(cut).withColumn("epoch", F.col("whole"))
     every = full.unionByName(last)
     return every.select(
-        "key", "source", "tokens", "epoch",
+        "key", "source", "tokens", "weight", "epoch",
         _draw("block", "epoch", seed).alias("place_block"),
         _draw("key", "epoch", seed).alias("place"),
     )
@@ -174,14 +239,6 @@ def _draw(name: str, epoch: str, seed: int):
     return F.xxhash64(F.lit(name), F.col(name).cast("long"), F.col(epoch).cast("long"), F.lit(seed))
 
 
-def totals_of(rows: DataFrame) -> dict:
-    """The tokens of every source, null last."""
-    found = rows.groupBy("source").agg(F.sum("tokens").alias("total")).limit(MOST_SOURCES + 1).collect()
-    if len(found) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources")
-    return dict(sorted(((r["source"], r["total"]) for r in found), key=lambda x: (x[0] is None, x[0] or "")))
-
-
 def mixed(
     docs: DataFrame,
     text: str = "text",
@@ -195,11 +252,11 @@ def mixed(
     """Every reading, in columns of :func:`schedule`, weight, and the struct ``row`` that is read."""
     # Written once: rows are told apart by their number, which a second read might change.
     rows = stored(counted(docs, text, source, carry), "mixing_rows")
-    totals = totals_of(rows)
-    chosen = plan(totals, most_repeats, target_entropy, budget) if totals else Plan(1.0, {}, {})
-    readings = schedule(rows.select("key", "source", "tokens"), chosen.quotas, seed)
-    of = docs.sparkSession.createDataFrame(list(chosen.weights.items()), "of string, weight double")
-    readings = readings.join(F.broadcast(of), F.col("source").eqNullSafe(F.col("of"))).drop("of")
+    totals = rows.groupBy("source").agg(F.sum("tokens").alias("total"), F.count(F.lit(1)).alias("n"))
+    totals = stored(totals, "mixing_sources")
+    few = totals.count() <= FEW_SOURCES
+    sources = planned(totals, most_repeats, target_entropy, budget)
+    readings = schedule(rows.select("key", "source", "tokens"), sources, few, seed)
     return readings.join(rows.select("key", "row"), "key")
 
 

@@ -7,9 +7,10 @@ import corpus_pipeline
 import pyarrow as pa
 import pytest
 from messy import edited, frame, sentence
+from pyspark.sql import functions as F
 from test_llm_dedup import distance, near, normal
 
-from debtlens.llm import html_text, line_dedup, near_dedup
+from debtlens.llm import html_text, line_dedup, mixing, near_dedup
 
 
 def test_similar_lines_go_whatever_their_simhash(spark):
@@ -77,3 +78,22 @@ def test_documents_with_several_texts_link_through_each(spark):
     found = near_dedup.components(frame(spark, data)).collect()
     assert Counter(map(tuple, found)) == near(data)
     assert {r["doc_id"] for r in found if r["component_id"] == 1} == {1, 3, 4, 6, 7}
+
+
+@pytest.mark.parametrize("wanted", [{"most_repeats": 1.5}, {"target_entropy": 0.9}, {"most_repeats": 3.0, "budget": 12_345}])
+def test_weights_and_quotas_over_a_table(spark, wanted):
+    totals = {"a": 50_000, "b": 3_000, "c": 700, None: 11, "": 11}
+    expected = mixing.plan(totals, **wanted)
+    found = mixing.planned(spark.createDataFrame(list(totals.items()), "source string, total long"), **wanted).collect()
+    assert {r["source"]: r["quota"] for r in found} == expected.quotas
+    assert {r["source"]: r["weight"] for r in found} == pytest.approx(expected.weights)
+
+
+def test_more_sources_than_are_broadcast(spark):
+    n = mixing.FEW_SOURCES + 7
+    df = spark.range(n).selectExpr("id AS doc_id", "'three words here' AS text", "nullif(cast(id AS string), '5') AS source")
+    df = df.unionByName(spark.range(n, n + 5000).selectExpr("id AS doc_id", "'three words here' AS text", "'large' AS source"))
+    found = mixing.report(df)
+    # All but the largest source owe one and a half times their tokens: their one document is read twice.
+    times = found.groupBy("doc_id", "source").count().groupBy(F.expr("source <=> 'large'").alias("large"), "count").count()
+    assert Counter(map(tuple, times.collect())) == Counter([(False, 2, n), (True, 1, 5000)])
