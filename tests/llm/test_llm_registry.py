@@ -18,7 +18,7 @@ REPO = Path(__file__).resolve().parent.parent.parent
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert "pipeline" in queries() and ORACLE_SQL.keys() <= oracle_sql().keys()
 
 
