@@ -29,6 +29,7 @@ from debtlens.functions import (
     unlike,
 )
 from debtlens.operators import (
+    Measure,
     fits,
     frequent_keys,
     lookup,
@@ -193,7 +194,7 @@ def _plan(installments: DataFrame, amount: Column) -> DataFrame:
 
 
 def current_installment(installments: DataFrame) -> DataFrame:
-    """Amount of the last period of the restructured plan; a NULL period ranks last of all."""
+    """Amount of the last period of the restructured plan; a NULL period counts as the latest."""
     amount = "period_installment_amount"
     return _plan(installments, latest_by(amount, ["periods"], tiebreak=[amount]))
 
@@ -247,12 +248,12 @@ def total_fees() -> list[Column]:
 # ------------------------------------------------------- contract and bank
 
 
-def preferred_contract(contract: DataFrame, bank: DataFrame) -> DataFrame:
+def preferred_contract(contract: DataFrame, bank: DataFrame, bank_size: Measure | None = None) -> DataFrame:
     """One contract per person with its bank's name: a known bank first, then any bank code,
     then the newest contract."""
     banks = one_per_key(bank, "bank_code", ["bank_name_th"]).withColumn("bank_known", F.lit(True))
     columns = ["bank_known", "bank_name_th"]
-    if fits(bank):
+    if fits(bank, measured=bank_size):
         coded = lookup(contract, F.broadcast(banks), "stu_bank_code", "bank_code", columns)
     else:
         hot = frequent_keys(contract, "stu_bank_code")

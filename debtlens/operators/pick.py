@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from debtlens.functions.aggregates import count_where
 from debtlens.functions.scalars import as_column
-from debtlens.operators.skew import frequent_keys, salted_left_join
+from debtlens.operators.skew import frequent_keys, split_left_join
 
 
 def pick_one(
@@ -53,13 +53,13 @@ def total_over(df: DataFrame, key: str, total: Column, name: str) -> DataFrame:
     """``df`` with ``total`` aggregated over all rows of each key, on every row.
 
     The value of an unordered window aggregate, NULL keys forming one group. A window would
-    gather the rows of a key in one task; here totals combine on the map side and return
-    through a join that spreads the rows of frequent keys. The same aggregate says which keys
-    are frequent.
+    gather the rows of a key in one task; here totals combine on the map side, and rows of frequent
+    keys get theirs by broadcast, without a shuffle, equal rows or not. The same aggregate says
+    which keys are frequent.
     """
     totals = df.groupBy(F.col(key).alias("_total_key")).agg(total.alias(name), F.count(F.lit(1)).alias("_rows"))
     hot = frequent_keys(totals, "_total_key", rows="_rows")
-    return salted_left_join(df, totals.drop("_rows"), key, "_total_key", hot).drop("_total_key")
+    return split_left_join(df, totals.drop("_rows"), key, "_total_key", hot).drop("_total_key")
 
 
 def count_over(df: DataFrame, key: str, predicate: Column, name: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from debtlens import measures as m
 from debtlens.functions import any_of, missing_flag, nvl
 from debtlens.operators import (
+    Measure,
     Scope,
     assemble,
     distinct_keys,
@@ -18,6 +19,7 @@ from debtlens.operators import (
     fits,
     frequent_keys,
     lookup,
+    measure,
     multiplicity,
     repeat_rows,
     snapshot,
@@ -56,7 +58,7 @@ def _matches(df: DataFrame, name: str) -> DataFrame:
     return df.groupBy("acc_no").agg(F.count(F.lit(1)).alias(name))
 
 
-def _contract_banks(contract: DataFrame, bank: DataFrame) -> DataFrame:
+def _contract_banks(contract: DataFrame, bank: DataFrame, size: Measure) -> DataFrame:
     """Per person: joined contract rows with a known bank, and contract rows without.
 
     Contracts are counted by person and bank code before they meet the banks.
@@ -64,7 +66,7 @@ def _contract_banks(contract: DataFrame, bank: DataFrame) -> DataFrame:
     coded = contract.where(F.col("cid").isNotNull()).groupBy("cid", "stu_bank_code")
     coded = coded.agg(F.count(F.lit(1)).alias("contracts"))
     banks = bank.groupBy("bank_code").agg(F.count(F.lit(1)).alias("banks"))
-    if fits(bank):
+    if fits(bank, measured=size):
         found = lookup(coded, F.broadcast(banks), "stu_bank_code", "bank_code", ["banks"])
     else:
         hot = frequent_keys(coded, "stu_bank_code")
@@ -103,6 +105,7 @@ def audit_missing(
     repeated: bool = False,
     max_broadcast_keys: int = MAX_BROADCAST_KEYS,
     covers_most: bool = False,
+    max_filter_keys: int | None = None,
 ) -> DataFrame:
     """Ten missing-source flags per listed account that any of ``triggers`` applies to.
 
@@ -117,7 +120,15 @@ def audit_missing(
     account missing there is missing in all of them.
     """
     listed = driver_list(ledger["list_acc_broken_contract"], ["acc_no"], accounts)
-    scope = Scope.of(listed, max_keys=max_broadcast_keys, covers_most=covers_most)
+    bank = ledger["rdbbank"]
+    sizes = measure({"list": (listed, ()), "banks": (bank, ())})
+    scope = Scope.of(
+        listed,
+        max_keys=max_broadcast_keys,
+        covers_most=covers_most,
+        max_filter_keys=max_filter_keys,
+        measured=sizes["list"],
+    )
 
     def scoped(name: str) -> DataFrame:
         return scope.prefilter(ledger[name])
@@ -132,7 +143,7 @@ def audit_missing(
             contract = contract.join(F.broadcast(people), F.col("cid") == F.col("_person"), "left_semi")
     else:
         hot = frequent_keys(viewed, "cid")
-    banks = _contract_banks(contract, ledger["rdbbank"])
+    banks = _contract_banks(contract, bank, sizes["banks"])
     view = (
         lookup(viewed, banks, "cid", "cid", ["with_bank", "without_bank"], hot)
         .groupBy("acc_no")

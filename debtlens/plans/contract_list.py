@@ -14,9 +14,10 @@ from debtlens.operators import (
     assemble,
     chain_left,
     driver_list,
-    frequent_keys,
+    measure,
     one_per_key,
     pick_one,
+    salts_of,
 )
 from debtlens.operators.scope import MAX_BROADCAST_KEYS
 from debtlens.sources import Ledger
@@ -82,6 +83,7 @@ def contract_list(
     accounts: Sequence[str] | None = None,
     max_broadcast_keys: int = MAX_BROADCAST_KEYS,
     covers_most: bool = False,
+    max_filter_keys: int | None = None,
 ) -> DataFrame:
     """One row per listed account, 44 columns.
 
@@ -91,12 +93,21 @@ def contract_list(
     salted if a count by person finds it so.
     """
     listed = driver_list(ledger["list_acc_broken_contract"], ["acc_no", "cid", "cif"], accounts)
-    scope = Scope.of(listed, max_keys=max_broadcast_keys, covers_most=covers_most)
+    banks = ledger["rdbbank"]
+    # One job measures all that the plan depends on.
+    sizes = measure({"list": (listed, ["cid", "cif"]), "banks": (banks, ())})
+    scope = Scope.of(
+        listed,
+        max_keys=max_broadcast_keys,
+        covers_most=covers_most,
+        max_filter_keys=max_filter_keys,
+        measured=sizes["list"],
+    )
 
     def scoped(name: str) -> DataFrame:
         return scope.prefilter(ledger[name])
 
-    contract = m.preferred_contract(scope.by("cid").prefilter(ledger["contract"]), ledger["rdbbank"])
+    contract = m.preferred_contract(scope.by("cid").prefilter(ledger["contract"]), banks, sizes["banks"])
     person_columns = ["hr_title", "hr_name", "hr_surname", *ADDRESS]
     person = one_per_key(scope.by("cif").prefilter(ledger["person"]), "cif", person_columns)
     person = _prefixed(person, "pr_", ["hr_title", "hr_name", "hr_surname"])
@@ -104,7 +115,7 @@ def contract_list(
     # A short list has too few rows for a hot key to matter. Of a long one the raw rows are counted,
     # in one pass: at least as many as accounts, so that every hot person among those is found
     # unless repeated rows outweigh it, which changes no result.
-    hot = {} if scope.small else frequent_keys(listed, ["cid", "cif"])
+    hot = {} if scope.small else salts_of(listed, sizes["list"], ["cid", "cif"])
     base = chain_left(
         accounts_once,
         [

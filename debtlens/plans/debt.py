@@ -48,6 +48,7 @@ def debt_report(
     accounts: Sequence[str] | None = None,
     max_broadcast_keys: int = MAX_BROADCAST_KEYS,
     covers_most: bool = False,
+    max_filter_keys: int | None = None,
 ) -> DataFrame:
     """One row per listed account: dues, arrears by version, fees and payoff.
 
@@ -55,7 +56,7 @@ def debt_report(
     summary shows only for accounts that the account view knows.
     """
     listed = driver_list(ledger["list_account_f69_117"], ["acc_no", "cid"], accounts)
-    scope = Scope.of(listed, max_keys=max_broadcast_keys, covers_most=covers_most)
+    scope = Scope.of(listed, max_keys=max_broadcast_keys, covers_most=covers_most, max_filter_keys=max_filter_keys)
 
     def scoped(name: str) -> DataFrame:
         return scope.prefilter(ledger[name])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from debtlens import measures as m
 from debtlens.functions import constant, nvl, total
-from debtlens.operators import Scope, assemble, driver_list, one_per_key, pick_one
+from debtlens.operators import Scope, assemble, driver_list, fixed, one_per_key, pick_one
 from debtlens.sources import RELATIONS, Ledger
 
 # Display names.
@@ -31,7 +31,8 @@ class _Listed:
         self.ledger, self.accounts = ledger, accounts
         self.scope = None
         if isinstance(accounts, DataFrame):
-            self.accounts, self.scope = None, Scope.of(accounts)
+            # Read by every scan: written once, so that all of them see one list.
+            self.accounts, self.scope = None, Scope.of(fixed(accounts.select("acc_no"), "account_list"))
 
     def __getitem__(self, name: str) -> DataFrame:
         rows = driver_list(self.ledger[name], list(RELATIONS[name].columns), self.accounts)
