@@ -256,8 +256,6 @@ DERIVATIONS: dict[str, list[Derivation]] = {
 }
 
 
-
-
 def repeated(name: str, every: int, **changed: str) -> None:
     """Repeat every so many-th row of a relation's first derivation, some columns changed."""
     first = DERIVATIONS[name][0]
