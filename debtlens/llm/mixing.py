@@ -12,12 +12,16 @@ a seeded permutation of its blocks, and within each block of its documents. Whol
 whole; the last one is cut at the first document that reaches what is owed. So with the default
 budget no document is left out, and no source is read more than one document over its quota.
 
+Blocks and places are drawn from what a row holds, so the same rows give the same readings however
+they are stored and split. Equal rows share their draws and can't be told apart in the result; the
+last epoch takes as many of them as fit, counted as one unit with its copies.
+
 Weights and quotas are columns of a table with one row per source; the driver gets four sums of it
 and, for a target entropy, a few more per step of the search. With few sources it is broadcast, else
 joined with the sources that hold many rows cut in pieces.
 
-All prefix sums run over blocks first, a small table, and over documents only in the block where
-a source's quota ends. Tokens are words here, runs of characters other than space and 0x09-0x0D,
+All prefix sums run over blocks first, a small table (a source's blocks meet in one task, one row for
+some ``BLOCK`` documents), and over units only in the block where a source's quota ends. Tokens are words here, runs of characters other than space and 0x09-0x0D,
 and one for the end of the document.
 
 Defined results. A null source is a source of its own. Null, empty and blank texts are one token,
@@ -170,13 +174,14 @@ def _exponent_for_entropy(totals: DataFrame, high: int, target: float) -> float:
 
 
 def counted(docs: DataFrame, text: str = "text", source: str = "source", carry: list[str] | None = None) -> DataFrame:
-    """key, source and tokens of every row of ``docs``, and the columns ``carry`` as struct ``row``."""
+    """key, source, tokens and a hash of every row of ``docs``, and the columns ``carry`` as struct ``row``."""
     words = F.size(F.array_remove(F.split(F.coalesce(F.col(f"`{text}`"), F.lit("")), SPACE), ""))
     return docs.select(
         F.struct(*(F.col(f"`{c}`") for c in carry or docs.columns)).alias("row"),
         F.monotonically_increasing_id().alias("key"),
         F.col(f"`{source}`").cast("string").alias("source"),
         (words + 1).cast("long").alias("tokens"),
+        F.xxhash64(*(F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind)).alias("content"),
     )
 
 
@@ -193,8 +198,8 @@ def _with_source(rows: DataFrame, sources: DataFrame, few: bool) -> DataFrame:
 def schedule(rows: DataFrame, sources: DataFrame, few: bool, seed: int = 0) -> DataFrame:
     """key, source, tokens, weight, epoch, place_block and place for every reading of a row of ``rows``.
 
-    ``rows`` has key, source and tokens; ``sources`` has source, total, n, weight and quota. Readings
-    of one source come in order of epoch, place_block and place.
+    ``rows`` has key, source, tokens and content; ``sources`` has source, total, n, weight and quota.
+    Readings of one source come in order of epoch, place_block and place.
     """
     per = stored(
         sources.select(
@@ -206,34 +211,56 @@ def schedule(rows: DataFrame, sources: DataFrame, few: bool, seed: int = 0) -> D
         "mixing_plan",
     )
     dealt = _with_source(rows, per, few)
-    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("key", F.lit(seed)), F.col("blocks")))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("content", F.lit(seed)), F.col("blocks")))
+    columns = ["key", "source", "tokens", "weight", "content", "block", "epoch"]
 
     # Whole epochs: every document once in each.
     full = dealt.where("whole > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("whole") - 1)))
 
     # The last epoch: blocks in their permuted order, until the quota ends inside one of them.
-    blocks = dealt.groupBy("source", "block", "whole", "part").agg(F.sum("tokens").alias("held"))
+    blocks = dealt.groupBy("source", "block", "whole", "part").agg(
+        F.sum("tokens").alias("held"), F.count(F.lit(1)).alias("many")
+    )
     order = [_draw("block", "whole", seed), "block"]
     before = Window.partitionBy("source").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("before", F.coalesce(F.sum("held").over(before), F.lit(0)))
-    blocks = stored(blocks.where("before < part"), "mixing_blocks").select("source", "block", "before", "held")
-    same = dealt.source.eqNullSafe(blocks.source) & (dealt.block == blocks.block)
-    last = dealt.join(blocks, same).drop(blocks.source).drop(blocks.block)
-    inside = last.where("before + held <= part").drop("before", "held")
-    cut = last.where("before + held > part")
-    order = [_draw("key", "whole", seed), "key"]
-    ahead = Window.partitionBy("source", "block").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    cut = cut.withColumn("ahead", F.col("before") + F.coalesce(F.sum("tokens").over(ahead), F.lit(0)))
-    cut = cut.where("ahead < part").drop("before", "held", "ahead")
-    last = inside.unionByName(cut).withColumn("epoch", F.col("whole"))
-    every = full.unionByName(last)
+    # Null is a source like others, so a block needs a name; copies may make one block large.
+    named = F.concat("block", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")))
+    blocks = stored(blocks.where("before < part").select(named.alias("named"), "many", "before", "held"), "mixing_blocks")
+    last = join_counted(dealt.withColumn("named", named), blocks, "named", "many", "key").withColumn("epoch", F.col("whole"))
+    inside = last.where("before + held <= part")
+    cut = last.where("before + held > part").select(*columns, "named", "part", "before")
+    every = full.select(*columns).unionByName(inside.select(*columns)).unionByName(_cut(cut, seed).select(*columns))
     return every.select(
         "key", "source", "tokens", "weight", "epoch",
         _draw("block", "epoch", seed).alias("place_block"),
-        _draw("key", "epoch", seed).alias("place"),
+        _draw("content", "epoch", seed).alias("place"),
     )
 
 
+def _cut(rows: DataFrame, seed: int) -> DataFrame:
+    """The rows that are read of the blocks where quotas end, at most one block per source."""
+    unit = F.concat_ws("/", "content", "tokens", "named")
+    rows = stored(rows.withColumn("unit", unit), "mixing_cut")
+    units = rows.groupBy("unit", "named", "content", "tokens", "epoch", "part", "before").agg(F.count(F.lit(1)).alias("copies"))
+    order = [_draw("content", "epoch", seed), "content", "tokens"]
+    ahead = Window.partitionBy("named").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    units = units.withColumn("ahead", F.col("before") + F.coalesce(F.sum(F.col("tokens") * F.col("copies")).over(ahead), F.lit(0)))
+    # The document that reaches the quota is read as a whole.
+    taken = F.least("copies", F.expr("(part - ahead + tokens - 1) div tokens"))
+    units = stored(units.where("ahead < part").select("unit", "copies", taken.alias("taken")), "mixing_units")
+    found = join_counted(rows, units, "unit", "copies", "key")
+    # At most one unit per source is cut. Its copies are numbered by the task that numbered them: first
+    # how many each task has, then within each.
+    part = found.where("taken < copies").withColumn("task", F.shiftright("key", 33))
+    held = part.groupBy("unit", "task").agg(F.count(F.lit(1)).alias("held"))
+    earlier = Window.partitionBy("unit").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    held = held.select("unit", "task", F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("earlier"))
+    number = F.row_number().over(Window.partitionBy("unit", "task").orderBy("key")) + F.col("earlier")
+    part = part.join(held, ["unit", "task"]).withColumn("number", number).where("number <= taken")
+    return found.where("taken = copies").unionByName(part.select(*found.columns))
+
+
 def _draw(name: str, epoch: str, seed: int):
     """Where a block or a document stands in an epoch's permutation."""
     return F.xxhash64(F.lit(name), F.col(name).cast("long"), F.col(epoch).cast("long"), F.lit(seed))
@@ -256,7 +283,7 @@ def mixed(
     totals = stored(totals, "mixing_sources")
     few = totals.count() <= FEW_SOURCES
     sources = planned(totals, most_repeats, target_entropy, budget)
-    readings = schedule(rows.select("key", "source", "tokens"), sources, few, seed)
+    readings = schedule(rows.select("key", "source", "tokens", "content"), sources, few, seed)
     return readings.join(rows.select("key", "row"), "key")
 
 

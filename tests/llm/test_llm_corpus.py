@@ -253,6 +253,31 @@ def test_readings(spark, monkeypatch, budget):
         assert {r["at"] for r in found} == set(range(len(data)))
 
 
+@pytest.mark.parametrize("budget", [None, 5_000, 900_000])
+def test_readings_do_not_depend_on_the_split(spark, monkeypatch, budget):
+    monkeypatch.setattr(mixing, "BLOCK", 8)
+    data = rows() + [(7, "one text in many equal rows", "en", "c", None)] * 300
+    found = []
+    for df in (frame(spark, data), frame(spark, data[::-1]).repartition(7), frame(spark, data).coalesce(1)):
+        found.append(Counter(map(tuple, mixing.mixed(df, budget=budget).select("row", "epoch", "place_block", "place").collect())))
+    assert found[0] == found[1] == found[2] and sum(found[0].values()) > 0
+    totals, read = Counter(), Counter()
+    for r in data:
+        totals[r[3]] += tokens(r[1])
+    for (row, *_), n in found[0].items():
+        read[row["source"]] += n * tokens(row["text"])
+    for source, quota in mixing.plan(dict(totals), budget=budget).quotas.items():
+        longest = max(tokens(r[1]) for r in data if r[3] == source)
+        assert quota <= read[source] < quota + longest
+
+
+def test_a_quota_that_ends_among_equal_rows(spark):
+    data = [(1, "a b c", "en", "only", None)] * 1000  # four tokens each
+    df = frame(spark, data).repartition(5)
+    for budget, most in ((2, 1), (401, 101), (4000, 1000), (4001, 1001), (9999, 2500)):
+        assert mixing.mixed(df, budget=budget).count() == most
+
+
 def test_one_source_is_read_once(spark):
     data = [(i, "some words here", None, "only", None) for i in range(30)]
     df = frame(spark, data)
