@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from debtlens.llm import exact_dedup, mixing, near_dedup, packing, quality
-from debtlens.llm.scratch import BATCH, BATCH_ROWS, stored
+from debtlens.llm.scratch import stored
 
 #: Near copies are texts of at least this similarity.
 NEAR_PERCENT = 80
@@ -26,9 +26,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the quality classifier accepts."""
-    # The caller writes the result, so the batches of whole texts are made small for its session.
-    spark.conf.set(BATCH_ROWS, BATCH)
-    return quality.accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    # Written here: batches of whole texts are small only while this package writes.
+    return stored(quality.accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")), "accepted")
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +47,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their sequence and offset."""
-    return packing.packed(docs)
+    return stored(packing.packed(docs), "packed")
 
 
 STAGES: list[tuple[str, Stage]] = [
