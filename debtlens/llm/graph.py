@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from debtlens.llm.hot import join_counted
 from debtlens.llm.scratch import stored
 
 
@@ -16,14 +17,13 @@ def components(edges: DataFrame) -> DataFrame:
     Alternates two rewritings that keep components: each node hands its larger neighbours to
     its smallest one, then each hands its smaller neighbours to the smallest. The edges become
     stars round the smallest nodes in about as many steps as the logarithm of the longest path,
-    and no step makes more edges than it was given.
+    and no step makes more edges than it was given. One pass over the nodes tells when they are stars.
     """
     pairs = stored(
         edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
         "edges",
     )
-    before = None
-    while True:
+    while not _stars(pairs):
         both = pairs.select("u", "v").union(pairs.select("v", "u"))
         # An aggregate and a join instead of collected neighbour lists: a hub's list is unbounded.
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -34,14 +34,17 @@ def components(edges: DataFrame) -> DataFrame:
             F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")
         )
         pairs = stored(small.select("e.u", "e.v").where("u <> v").distinct(), "edges")
-        state = pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
-            break
-        before = state
     roots = pairs.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
 
 
+def _stars(pairs: DataFrame) -> bool:
+    """Whether every node has one smaller neighbour, or only larger ones."""
+    up, down = (pairs.select(F.col(c).alias("node"), F.lit(n).alias("up")) for c, n in (("u", 1), ("v", 0)))
+    seen = up.union(down).groupBy("node").agg(F.sum("up").alias("ups"), F.min("up").alias("least"))
+    return seen.where("ups > 1 OR (ups = 1 AND least = 0)").isEmpty()
+
+
 def linked(
     members: DataFrame,
     near: str,
@@ -66,43 +69,48 @@ def linked(
     rows = stored(members, "members")
     extra = [c for c in rows.columns if c not in ("bucket", "node", "rank")]
     links = None if labels is None else labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    # A hub is named by its place in its bucket's order.
+    order = F.struct("rank", "node")
     hubs, done = 1, 0
     while True:
         if labels is None:
             current = rows.withColumn("component", F.col("node"))
         else:
             current = rows.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        mixed = current.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        current = stored(current.join(mixed.where("low < high").select("bucket"), "bucket"), "members")
-        rows = current.select("bucket", "node", "rank", *extra)
-        if done == rounds or current.isEmpty():
-            return labels, rows
-        # Each hub is named by its place in its bucket's order.
-        order = F.struct("rank", "node")
+            current = stored(current, "members")
+        # One row per bucket: whether it is mixed, its first hub, and how many members meet there.
+        first = F.min(F.struct(order.alias("place"), "component", *extra)).alias("hub")
+        mixed = current.groupBy("bucket").agg(
+            first, F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("many")
+        )
+        mixed = stored(mixed.where("low < high").drop("low", "high"), "hubs")
+        if done == rounds or mixed.isEmpty():
+            return labels, join_counted(rows, mixed.select("bucket", "many"), "bucket", "many", "node").select(*rows.columns)
         if hubs == 1:
-            places = current.groupBy("bucket").agg(F.min(order).alias("place"))
+            chosen = mixed.select("bucket", "many", "hub.*")
+            last = chosen.select("bucket", "many", F.col("place").alias("last"))
         else:
+            current = join_counted(current, mixed.select("bucket", "many"), "bucket", "many", "node").drop("many")
             number = F.row_number().over(Window.partitionBy("bucket").orderBy("rank", "node"))
-            places = current.withColumn("number", number).where(F.col("number") <= hubs).select("bucket", order.alias("place"))
-        own = ["component", *extra]
-        chosen = stored(
-            current.select("bucket", order.alias("place"), *(F.col(c).alias(f"hub_{c}") for c in own)).join(places, ["bucket", "place"]),
-            "hubs",
-        )
+            chosen = current.withColumn("number", number).where(F.col("number") <= hubs)
+            chosen = stored(chosen.withColumn("place", order).drop("number", "rank", "node"), "hubs")
+            last = chosen.groupBy("bucket").agg(F.max("place").alias("last")).join(mixed.select("bucket", "many"), "bucket")
+            last = stored(last, "last")
+        named = chosen.select("bucket", "place", *([] if hubs > 1 else ["many"]), *(F.col(c).alias(f"hub_{c}") for c in ["component", *extra]))
+        # Every member of a large bucket meets its hubs in pieces of the bucket.
+        met = join_counted(current, named, "bucket", "many", "node") if hubs == 1 else current.join(named, "bucket")
         stars = (
-            current.join(chosen, "bucket")
-            .where(order > F.col("place"))
+            met.where(order > F.col("place"))
             .where("component <> hub_component")
             .where(near)
             .select(F.least("place.node", "node").alias("a"), F.greatest("place.node", "node").alias("b"))
             .distinct()
         )
-        found = stored(test(stored(stars, "stars")), "links")
+        found = stored(test(stars), "links")
         if not found.isEmpty():
             links = found if links is None else links.union(found)
             labels = stored(components(links), "labels")
             links = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        # Hubs have met every node after them.
-        last = chosen.groupBy("bucket").agg(F.max("place").alias("place"))
-        rows = rows.join(last, "bucket").where(order > F.col("place")).drop("place")
+        # Hubs have met every node after them; buckets that weren't mixed are done.
+        rows = join_counted(rows, last, "bucket", "many", "node").where(order > F.col("last")).select("bucket", "node", "rank", *extra)
         hubs, done = hubs * growth, done + 1

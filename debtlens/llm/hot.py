@@ -15,10 +15,12 @@ def join_counted(rows: DataFrame, side: DataFrame, key: str, count: str, spread:
     Rows of a hot key are cut into pieces by the hash of their column ``spread``, and the key's
     row of ``side`` is copied once per piece, under ``2 * SHARE`` copies in all.
     """
-    total = side.agg(F.sum(count)).first()[0] or 0
+    total, most = side.agg(F.sum(count), F.max(count)).first()
+    if not most or most <= SHARE or most * SHARE <= total:
+        return rows.join(side, key)
     hot = side.where(F.col(count) * SHARE > F.lit(total)).where(F.col(count) > SHARE)
     # Fewer than SHARE rows by arithmetic, fetched once so that both sides see the same pieces.
-    found = [(r[0], int(r[1])) for r in hot.select(key, F.ceil(F.col(count) * SHARE / F.lit(total or 1))).collect()]
+    found = [(r[0], int(r[1])) for r in hot.select(key, F.ceil(F.col(count) * SHARE / F.lit(total))).collect()]
     if not found:
         return rows.join(side, key)
     kind = rows.schema[key].dataType.simpleString()

@@ -70,7 +70,10 @@ def bucketed(df: DataFrame, name: str, buckets: int, key: str) -> DataFrame:
     writer = df.write.bucketBy(buckets, key).option("path", place(spark, name)).format("parquet")
     with small_batches(spark):
         writer.saveAsTable(table)
-    return spark.table(table)
+    rows = spark.table(table)
+    # The files stay and are known from here on; the catalog needs no entry for them.
+    spark.sql(f"DROP TABLE {table}")
+    return rows
 
 
 def partitions(spark: SparkSession) -> int:
