@@ -2,23 +2,28 @@
 
 Writing (:func:`write`):
 
-1. texts are tokenised and dealt by ranges of ``doc_id`` to tasks, sorted there, and cut into
-   blocks of whole documents with about ``BLOCK`` ids;
-2. ids are counted over all blocks, and package-merge gives the code lengths that are best among
-   those of at most ``LIMIT`` bits; a canonical code needs nothing but these lengths;
-3. each block is coded on its own, with the bit offset of every ``STEP``-th id.
+1. texts are tokenised where they are read, and their ids written there; every task leaves the
+   counts of its ids as one more row, so nothing is read again to count them;
+2. package-merge on the sums of these gives the code lengths that are best among those of at most
+   ``LIMIT`` bits; a canonical code needs nothing but these lengths;
+3. each document is coded on its own, with the bit offset of every ``STEP``-th id, and only codes
+   are shuffled: to tasks by ranges of ``doc_id``, sorted there, and put together to blocks of
+   whole documents with about ``BLOCK`` ids. A document's code begins at a byte.
 
 Format: a folder with two Parquet tables. ``codes``: id, bits. ``blocks``: part and block (their
 order is that of the documents), start (ids before the block), doc_ids, sizes (ids per document),
-offsets (bits before each ``STEP`` ids, unsigned 64-bit little-endian), payload (codes, most
-significant bit first).
+offsets (bits of the block before each ``STEP`` ids of each document, unsigned 64-bit
+little-endian), payload (codes, most significant bit first).
 
-Reading (:func:`read`) decodes all steps of a block side by side: one table lookup on the next
+Reading (:func:`read`) decodes all steps of some blocks side by side: one table lookup on the next
 ``LIMIT`` bits gives each step's next id and the length of its code.
 
 Defined results. Null and empty texts are one id, the end id. Documents are in ascending order
 of ``doc_id``, null first; rows with equal ``doc_id`` in order of their sizes and check sums,
-rows equal in those being equal. An empty table is two empty tables. Only id and text are read.
+rows equal in those being equal. All rows of one ``doc_id`` go to one part: ids name documents, and a
+table in which one id has a share of all rows is not what this format is for. An empty table
+is two empty tables. Only id and text are read. Ids are held in 16 bits, so a tokenizer with more
+is refused.
 """
 
 from __future__ import annotations
@@ -105,149 +110,166 @@ def lookup(lengths: np.ndarray, limit: int = LIMIT) -> np.ndarray:
     return np.concatenate([table, np.full((1 << limit) - len(table), 1)]).astype(np.uint32)
 
 
-def pack(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, bytes]:
-    """Bit offsets of every ``STEP``-th id, and the codes of all."""
+def pack(ids: np.ndarray, first: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
+    """The codes of some documents, whose ids start at ``first`` (one more for the end).
+
+    Bit offsets of every ``STEP``-th id within its document, where each document's offsets start
+    and where its bytes start, and the bytes.
+    """
+    sizes = np.diff(first)
     bits = lengths[ids].astype(np.int64)
-    ends = np.cumsum(bits)
-    at = ends - bits
+    before = np.concatenate([[0], np.cumsum(bits)])
+    held = np.concatenate([[0], np.cumsum(-(-(before[first[1:]] - before[first[:-1]]) // 8))])
+    at = before[:-1] + np.repeat(8 * held[:-1] - before[first[:-1]], sizes)
     word, shift = at >> 5, (at & 31).astype(np.uint64)
     wide = codes[ids].astype(np.uint64) << (np.uint64(64) - bits.astype(np.uint64) - shift)
-    out = np.zeros(int(ends[-1]) // 32 + 2, np.uint64)
+    out = np.zeros(int(held[-1]) // 4 + 2, np.uint64)
     # Codes share no bits, so those that begin in one 32-bit word are added up.
-    heads = np.flatnonzero(np.concatenate([[True], np.diff(word) > 0]))
+    heads = np.flatnonzero(np.diff(word, prepend=-1))
     out[word[heads]] += np.add.reduceat(wide >> np.uint64(32), heads)
     out[word[heads] + 1] += np.add.reduceat(wide & np.uint64(0xFFFFFFFF), heads)
-    payload = out.astype(">u4").tobytes()[: -(-int(ends[-1]) // 8)]
-    return at[::STEP], payload
-
-
-def unpack(sizes: list[int], offsets: list[np.ndarray], payloads: list[bytes], table: np.ndarray, limit: int = LIMIT) -> list[np.ndarray]:
-    """The ids of some blocks; all steps of all blocks advance together, one id at a time."""
-    held = bytearray()
-    starts = []
-    for at, payload in zip(offsets, payloads):
-        starts.append(at.astype(np.int64) + 8 * len(held))
-        held += payload + bytes(8)
-    data = np.frombuffer(held, np.uint8).astype(np.uint32)
+    steps = np.concatenate([[0], np.cumsum(-(-sizes // STEP))])
+    own = np.repeat(np.arange(len(sizes)), np.diff(steps))
+    offsets = at[first[own] + STEP * (np.arange(steps[-1]) - steps[own])] - 8 * held[own]
+    return offsets, steps, held, out.astype(">u4").tobytes()
+
+
+def unpack(sizes: np.ndarray, offsets: np.ndarray, payload: bytes, table: np.ndarray, limit: int = LIMIT) -> np.ndarray:
+    """The ids of documents of so many ids, one after another; ``offsets`` are bits of ``payload``.
+
+    All steps advance together, one id at a time; those with fewer ids fall out.
+    """
+    data = np.frombuffer(payload + bytes(8), np.uint8).astype(np.uint32)
     windows = (data[:-3] << 24) | (data[1:-2] << 16) | (data[2:-1] << 8) | data[3:]
-    at = np.concatenate(starts)
-    out = np.empty((STEP, len(at)), np.uint32)
-    last, drop = len(windows) - 1, np.uint32(32 - limit)
-    for k in range(min(STEP, max(sizes))):
-        found = table[(windows[np.minimum(at >> 3, last)] << (at & 7).astype(np.uint32)) >> drop]
-        out[k] = found >> np.uint32(5)
-        at += found & np.uint32(31)
-    lanes = np.cumsum([0, *map(len, starts)])
-    return [out[:, a:b].T.ravel()[:n] for n, a, b in zip(sizes, lanes[:-1], lanes[1:])]
+    steps = -(-sizes // STEP)
+    counts = np.full(len(offsets), STEP)
+    counts[np.cumsum(steps) - 1] = sizes - STEP * (steps - 1)
+    order = np.argsort(-counts, kind="stable")
+    at = offsets[order].astype(np.int64)
+    active = np.searchsorted(-counts[order], -np.arange(STEP), "left")  # lanes with more than k ids
+    out = np.empty((len(offsets), STEP), np.uint16)
+    drop = np.uint32(32 - limit)
+    for k in range(int(counts.max(initial=0))):
+        at = at[: active[k]]
+        found = table[(windows[at >> 3] << (at & 7).astype(np.uint32)) >> drop]
+        out[order[: active[k]], k] = found >> np.uint32(5)
+        at = at + (found & np.uint32(31))
+    return out[np.arange(STEP) < counts[:, None]]
 
 
 # --- writing ----------------------------------------------------------------------------
 
 TOKENS = "part int, doc_id long, n long, check long, ids binary"
+#: The part of a row that holds a task's counts.
+COUNTS = -1
 
 
 def _tokenise(bounds: list[int], end: int, name: str):
+    """The ids of every document, and at the end one row with the counts of all."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << 16, np.int64)
+        names = ["part", "doc_id", "n", "check", "ids"]
         for batch in batches:
             texts = batch.column("text")
             for a, b in W.slices(texts):
                 doc_ids = batch.column("doc_id").slice(a, b - a)
                 ids, first = T.ended(texts.slice(a, b - a), end, name)
-                held = memoryview(ids.astype("<u2")).cast("B")
-                docs = [held[2 * x : 2 * y] for x, y in zip(first[:-1].tolist(), first[1:].tolist())]
+                counts += np.bincount(ids, minlength=1 << 16)
+                held = ids.astype("<u2").tobytes()
+                docs = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer((2 * first).astype(np.int32)), pa.py_buffer(held)])
                 part = np.searchsorted(bounds, doc_ids.fill_null(-(1 << 63)).to_numpy(), "right")
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(part.astype(np.int32)),
-                        doc_ids,
-                        pa.array(np.diff(first).astype(np.int64)),
-                        pa.array([zlib.crc32(d) for d in docs], pa.int64()),
-                        pa.array(docs, pa.binary()),
-                    ],
-                    names=["part", "doc_id", "n", "check", "ids"],
-                )
+                view = memoryview(held)
+                check = [zlib.crc32(view[2 * x : 2 * y]) for x, y in zip(first[:-1].tolist(), first[1:].tolist())]
+                columns = [pa.array(part.astype(np.int32)), doc_ids, pa.array(np.diff(first).astype(np.int64)), pa.array(check, pa.int64()), docs]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+        used = np.flatnonzero(counts)
+        row = [COUNTS, None, len(used), None, np.concatenate([used, counts[used]]).astype("<i8").tobytes()]
+        kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array([x], kind) for x, kind in zip(row, kinds)], names=names)
         W.trim()
 
     return run
 
 
-RAW = "part int, block long, start long, doc_ids array<long>, sizes array<long>, ids binary"
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The counts of some tasks, added up."""
+    counts = np.zeros(1 << 16, np.int64)
+    for batch in batches:
+        for row in batch.column("ids"):
+            used, n = np.frombuffer(row.as_buffer(), "<i8").reshape(2, -1)
+            counts[used] += n
+    used = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(counts[used])], names=["id", "n"])
+
 
+CODED = "part int, doc_id long, n long, check long, offsets binary, payload binary"
 
-def _blocks(size: int):
-    """Sorted documents of one part into raw blocks; start counts the part's ids so far."""
+
+def _code(lengths: bytes):
+    """The code of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = None
-        docs: list[int | None] = []
-        sizes: list[int] = []
-        held: list[bytes] = []
-
-        def block():
-            nonlocal number, start
-            row = pa.RecordBatch.from_pylist(
-                [{"part": part, "block": number, "start": start, "doc_ids": docs, "sizes": sizes, "ids": b"".join(held)}],
-                RAW_ARROW,
-            )
-            number, start = number + 1, start + sum(sizes)
-            return row
-
-        number = start = 0
+        bits = np.frombuffer(lengths, np.uint8)
+        codes = canonical(bits)
         for batch in batches:
-            columns = (batch.column(c) for c in ("part", "doc_id", "n", "ids"))
-            for own, doc_id, n, ids in zip(*columns):
-                if docs and (own.as_py() != part or sum(sizes) + n.as_py() > size):
-                    yield block()
-                    docs, sizes, held = [], [], []
-                if own.as_py() != part:
-                    part, number, start = own.as_py(), 0, 0
-                docs.append(doc_id.as_py())
-                sizes.append(n.as_py())
-                held.append(ids.as_py())
-        if docs:
-            yield block()
+            for a, b in W.slices(batch.column("ids")):
+                rows = batch.slice(a, b - a)
+                data, first = W.buffers(rows.column("ids"))
+                offsets, steps, held, payload = pack(np.frombuffer(data, "<u2"), first // 2, codes, bits)
+                at = offsets.astype("<u4")
+                docs = [
+                    pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(bytes_of)])
+                    for ends, bytes_of in ((4 * steps, at.tobytes()), (held, payload))
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [*(rows.column(c) for c in ("part", "doc_id", "n", "check")), *docs],
+                    names=["part", "doc_id", "n", "check", "offsets", "payload"],
+                )
         W.trim()
 
     return run
 
 
-RAW_ARROW = pa.schema(
+BLOCKS = "part int, block long, start long, doc_ids array<long>, sizes array<long>, offsets binary, payload binary"
+_BLOCKS = pa.schema(
     [("part", pa.int32()), ("block", pa.int64()), ("start", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
-     ("sizes", pa.list_(pa.int64())), ("ids", pa.binary())]
+     ("sizes", pa.list_(pa.int64())), ("offsets", pa.binary()), ("payload", pa.binary())]
 )
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(1 << 16, np.int64)
-    for batch in batches:
-        for ids in batch.column("ids"):
-            counts += np.bincount(np.frombuffer(ids.as_buffer(), "<u2"), minlength=1 << 16)
-    used = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(counts[used])], names=["id", "n"])
-
+def _blocks(size: int, before: dict[int, int]):
+    """Sorted documents of one part put together to blocks; ``before`` has the ids before each part."""
 
-BLOCKS = "part int, block long, start long, doc_ids array<long>, sizes array<long>, offsets binary, payload binary"
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, number, start = None, 0, 0
+        docs: list[int | None] = []
+        sizes: list[int] = []
+        offsets: list[np.ndarray] = []
+        payload: list[bytes] = []
+        ids = held = 0  # of the block so far
 
+        def block() -> pa.RecordBatch:
+            row = {"part": part, "block": number, "start": start, "doc_ids": docs, "sizes": sizes}
+            row |= {"offsets": np.concatenate(offsets).astype("<u8").tobytes(), "payload": b"".join(payload)}
+            return pa.RecordBatch.from_pylist([row], _BLOCKS)
 
-def _code(lengths: bytes, before: dict[int, int]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(lengths, np.uint8)
-        codes = canonical(bits)
         for batch in batches:
-            packed = [pack(np.frombuffer(ids.as_buffer(), "<u2"), codes, bits) for ids in batch.column("ids")]
-            starts = [s + before[p] for s, p in zip(batch.column("start").to_pylist(), batch.column("part").to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("part"),
-                    batch.column("block"),
-                    pa.array(starts, pa.int64()),
-                    batch.column("doc_ids"),
-                    batch.column("sizes"),
-                    pa.array([at.astype("<u8").tobytes() for at, _ in packed], pa.binary()),
-                    pa.array([payload for _, payload in packed], pa.binary()),
-                ],
-                names=["part", "block", "start", "doc_ids", "sizes", "offsets", "payload"],
-            )
+            columns = (batch.column(c).to_pylist() for c in ("part", "doc_id", "n", "offsets", "payload"))
+            for own, doc_id, n, at, code in zip(*columns):
+                if docs and (own != part or ids + n > size):
+                    yield block()
+                    number, start = number + 1, start + ids
+                    docs, sizes, offsets, payload, ids, held = [], [], [], [], 0, 0
+                if own != part:
+                    part, number, start = own, 0, before[own]
+                docs.append(doc_id)
+                sizes.append(n)
+                offsets.append(np.frombuffer(at, "<u4").astype(np.int64) + 8 * held)
+                payload.append(code)
+                ids, held = ids + n, held + len(code)
+        if docs:
+            yield block()
         W.trim()
 
     return run
@@ -261,23 +283,22 @@ def write(docs: DataFrame, path: str, end: int = END, tokenizer: str = T.WORD_BP
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     shares = [k / parts for k in range(1, parts)]
     bounds = sorted({int(x) for x in texts.select("doc_id").approxQuantile("doc_id", shares, 0.1 / parts)}) if shares else []
-    tokens = texts.mapInArrow(_tokenise(bounds, end, tokenizer), TOKENS)
-    ordered = tokens.repartitionById(parts, "part").sortWithinPartitions("part", "doc_id", "n", "check", "ids")
-    raw = stored(ordered.mapInArrow(_blocks(BLOCK), RAW), "huffman_raw")
+    tokens = stored(texts.mapInArrow(_tokenise(bounds, end, tokenizer), TOKENS), "huffman_ids")
+    rows = tokens.where(F.col("part") != COUNTS)
     # At most 65536 ids, and one total for each of the parts.
-    with small_batches(spark):
-        found = raw.select("ids").mapInArrow(_count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(1 << 16, np.int64)
-    for row in found:
+    counted = tokens.where(F.col("part") == COUNTS).select("ids").mapInArrow(_count, "id int, n long")
+    for row in counted.groupBy("id").agg(F.sum("n").alias("n")).collect():
         counts[row["id"]] = row["n"]
     lengths = code_lengths(counts)
-    sizes = raw.groupBy("part").agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x)).alias("n"))
     before, total = {}, 0
-    for part, n in sorted(tuple(r) for r in sizes.collect()):
+    for part, n in sorted(tuple(r) for r in rows.groupBy("part").agg(F.sum("n")).collect()):
         before[part], total = total, total + n
     with small_batches(spark):
-        coded = raw.mapInArrow(_code(lengths.tobytes(), before), BLOCKS)
-        coded.write.option("compression", "none").parquet(f"{path}/blocks")
+        coded = rows.mapInArrow(_code(lengths.tobytes()), CODED)
+        ordered = coded.repartitionById(parts, "part").sortWithinPartitions("part", "doc_id", "n", "check", "payload")
+        blocks = ordered.mapInArrow(_blocks(BLOCK, before), BLOCKS)
+        blocks.write.option("compression", "none").parquet(f"{path}/blocks")
     used = [(int(i), int(lengths[i])) for i in np.flatnonzero(lengths)]
     spark.createDataFrame(used, "id int, bits int").coalesce(1).write.parquet(f"{path}/codes")
 
@@ -291,18 +312,22 @@ def _decode(lengths: bytes):
         for batch in batches:
             for low in range(0, batch.num_rows, TOGETHER):
                 rows = batch.slice(low, TOGETHER)
-                sizes = [x.values.to_numpy() for x in rows.column("sizes")]
-                offsets = [np.frombuffer(x.as_buffer(), "<u8") for x in rows.column("offsets")]
                 payloads = rows.column("payload").to_pylist()
-                every = unpack([int(n.sum()) for n in sizes], offsets, payloads, table)
-                for n, ids, start, doc_ids in zip(sizes, every, rows.column("start"), rows.column("doc_ids")):
-                    held = memoryview(ids.astype("<u4")).cast("B")
-                    first = np.concatenate([[0], np.cumsum(n)])
-                    docs = [held[4 * a : 4 * b] for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
-                    yield pa.RecordBatch.from_arrays(
-                        [doc_ids.values, pa.array(first[:-1] + start.as_py()), pa.array(n), pa.array(docs, pa.binary())],
-                        names=["doc_id", "start", "n_tokens", "ids"],
-                    )
+                ends = np.cumsum([0, *map(len, payloads)])
+                offsets = [np.frombuffer(x.as_buffer(), "<u8").astype(np.int64) for x in rows.column("offsets")]
+                sizes = rows.column("sizes").flatten().to_numpy()
+                ids = unpack(sizes, np.concatenate([x + 8 * e for x, e in zip(offsets, ends)]), b"".join(payloads), table)
+                first = np.concatenate([[0], np.cumsum(sizes)])
+                docs = rows.column("sizes").value_lengths().to_numpy()
+                head = np.cumsum(docs) - docs  # each block's first document
+                start = first[:-1] + np.repeat(rows.column("start").to_numpy() - first[head], docs)
+                held = pa.Array.from_buffers(
+                    pa.large_binary(), len(sizes), [None, pa.py_buffer(4 * first.astype(np.int64)), pa.py_buffer(ids.astype("<u4").tobytes())]
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column("doc_ids").flatten(), pa.array(start), pa.array(sizes), held.cast(pa.binary())],
+                    names=["doc_id", "start", "n_tokens", "ids"],
+                )
 
     return run
 

@@ -50,6 +50,13 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+def checked(library, name: str):
+    """The library, if 16 bits hold its ids."""
+    if library.get_vocab_size() > 1 << 16:
+        raise ValueError(f"{name} has {library.get_vocab_size()} ids, more than 16 bits hold")
+    return library
+
+
 class WordIds:
     """Ids of words, encoded by the tokenizers library."""
 
@@ -58,7 +65,7 @@ class WordIds:
         import public_tokenizers
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(public_tokenizers.path(name))
+        self.library = checked(Tokenizer.from_file(public_tokenizers.path(name)), name)
         self.letters = byte_letters()
         self.clear()
 

@@ -11,6 +11,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from messy import DOCS, frame, rows
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from debtlens.llm import bpe_count, huffman, packing
@@ -91,9 +92,16 @@ def test_unlimited_lengths_are_huffmans():
 def test_blocks_round_trip(blocks):
     blocks = [np.array(b, np.uint16) for b in blocks]
     lengths = huffman.code_lengths(np.bincount(np.concatenate(blocks), minlength=1 << 16))
-    packed = [huffman.pack(b, huffman.canonical(lengths), lengths) for b in blocks]
-    found = huffman.unpack([len(b) for b in blocks], *map(list, zip(*packed)), huffman.lookup(lengths))
-    assert [f.tolist() for f in found] == [b.tolist() for b in blocks]
+    first = np.cumsum([0, *map(len, blocks)])
+    ids = np.concatenate(blocks)
+    offsets, steps, held, payload = huffman.pack(ids, first, huffman.canonical(lengths), lengths)
+    assert np.array_equal(np.diff(steps), -(-np.diff(first) // huffman.STEP)) and len(payload) >= held[-1]
+    at = offsets + np.repeat(8 * held[:-1], np.diff(steps))
+    found = huffman.unpack(np.diff(first), at, payload, huffman.lookup(lengths))
+    assert found.tolist() == ids.tolist()
+    # A document alone has the same bytes as among others.
+    alone = [huffman.pack(b, np.array([0, len(b)]), huffman.canonical(lengths), lengths) for b in blocks]
+    assert [a[3][: a[2][-1]] for a in alone] == [payload[x:y] for x, y in zip(held, held[1:])]
 
 
 def coded(data, library, end):
@@ -125,6 +133,28 @@ def test_several_blocks(spark, word_library, monkeypatch):
         start += len(ids)
 
 
+def test_many_tiny_documents(spark):
+    """Some hundred thousand documents of one id share few blocks, in time that grows with their number."""
+    n = 100_000
+    df = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("").alias("text"))
+    found = huffman.report(df).agg(F.count(F.lit(1)), F.sum("start"), F.sum("n_tokens"), F.min("ids_crc32"), F.max("ids_crc32")).first()
+    crc = zlib.crc32(np.array([1], "<u4").tobytes())
+    assert tuple(found) == (n, n * (n - 1) // 2, n, crc, crc)
+
+
+def test_larger_vocabularies_are_refused():
+    class Library:
+        def __init__(self, size):
+            self.size = size
+
+        def get_vocab_size(self):
+            return self.size
+
+    assert T.checked(Library(1 << 16), "full").size == 1 << 16
+    with pytest.raises(ValueError, match="large.json has 65537 ids"):
+        T.checked(Library((1 << 16) + 1), "large.json")
+
+
 def test_no_documents(spark):
     empty = frame(spark, [], DOCS)
     assert huffman.report(empty).collect() == []
