@@ -3,14 +3,15 @@
 A page becomes its text blocks in page order, each with its path of open elements from the root.
 Per path, over the whole page: blocks, characters outside links and punctuation. Two ratios,
 characters and punctuation per block, are smoothed over the paths in the order they first appear and fused into
-one weight by a product; running prose is high in both, link lists in neither. Structure enters
-as a prior: paths below elements that name themselves as other than content (``nav``, a class
-``ad``, ...) lose nearly all of their weight, and where a page marks its article, paths inside gain
-weight and paths outside lose most of theirs. Content are the paths with ``THRESHOLD`` of the
-heaviest weight.
-
-A name doesn't count on an element that holds over half of the page's text outside links, nor on the
-page's ``main`` or outermost ``article``. Where all of these are below names, they are not below
+one weight by a product with the share of text that is not a link's; running prose is high in all, link lists in none. Structure enters
+as a bounded prior: paths below elements that name themselves as other than content (``nav``, a class
+``ad``, ...) lose nearly all of their weight, and where a page marks its article, paths inside count
+``INSIDE`` times as much and paths outside ``ASIDE`` times. Content are the paths whose weight then
+reaches ``THRESHOLD`` of the heaviest without it: so the ratios decide on either side, a path inside may
+be too light (a list of links, a row of buttons) and one outside as heavy as the article.
+
+A name doesn't count on an element that holds over half of the page's text outside links, unless an
+article is marked elsewhere, nor on the page's ``main`` or outermost ``article``. Where all of these are below names, they are not below
 them: what surrounds an article is a frame. Only what is never shown as text has no blocks.
 
 Defined results. Null and empty pages, and pages without content, give the empty string. In a
@@ -36,9 +37,8 @@ from debtlens.llm.ship import ship
 THRESHOLD = 0.1
 #: What is left of the weight of a path below a name.
 NAMED = 0.005
-#: Where a page marks its article: what that adds to a path inside, as a share of the heaviest
-#: weight, and what is left of the weight of a path outside.
-ARTICLE, ASIDE = 1.0, 0.05
+#: Where a page marks its article: what the weights of paths inside and outside are multiplied by.
+INSIDE, ASIDE = 4.0, 0.2
 #: Weights of a path's neighbours in smoothing, a bell over two on either side.
 BELL = np.array([0.06, 0.24, 0.4, 0.24, 0.06])
 
@@ -220,9 +220,16 @@ class Frames:
         for k in range(n - 1, 0, -1):
             held[self.above[k]] += held[k]
         outermost = [tag in CONTENT and (tag == "main" or not self.article[a]) for tag, a in zip(self.tags, self.above)]
-        counts = [self.named[k] and not outermost[k] and 2 * held[k] <= held[0] for k in range(n)]
         articles = [k for k in range(n) if outermost[k] and held[k]]
         articles = [k for k in articles if self.tags[k] == "main"] or articles
+        # An element with most of the text may hold the article; not if that is marked elsewhere.
+        around = set(range(n)) if not articles else set()
+        for k in articles:
+            while k not in around:
+                around.add(k)
+                k = self.above[k]
+        large = [k in around and 2 * held[k] > held[0] for k in range(n)]
+        counts = [self.named[k] and not outermost[k] and not large[k] for k in range(n)]
 
         def down(free: set[int]) -> list[bool]:
             out = [False] * n
@@ -235,12 +242,13 @@ class Frames:
 
 
 def _weights(paths: dict[Path, list[float]]) -> np.ndarray:
-    n, chars, marks = np.array(list(paths.values()), float).reshape(-1, 3).T
+    n, chars, marks, length = np.array(list(paths.values()), float).reshape(-1, 4).T
     # Log ratios: one very long block is not to hide the others.
     ratios = [np.log1p(chars / n), np.log1p(marks / n)]
     # Each path counts by its own value or its neighbourhood's, so prose split by tags is kept.
     smooth = [np.maximum(r, np.convolve(np.pad(r, 2), BELL, "valid")) for r in ratios]
-    return smooth[0] * (0.1 + smooth[1])
+    # What is nearly all links is no prose, whatever is next to it.
+    return smooth[0] * (0.1 + smooth[1]) * (chars / length)
 
 
 def content_paths(found: list[Block]) -> set[Path]:
@@ -248,20 +256,18 @@ def content_paths(found: list[Block]) -> set[Path]:
     clear: dict[Path, list[float]] = {}
     below: dict[Path, list[float]] = {}  # names: no neighbours of the others
     for text, path, plain in found:
-        held = (below if path[2] else clear).setdefault(path, [0, 0, 0])
+        held = (below if path[2] else clear).setdefault(path, [0, 0, 0, 0])
         held[0] += 1
         held[1] += plain * len(text)
         held[2] += plain * len(_PUNCTUATION.findall(text))
+        held[3] += len(text)
     weights: dict[Path, float] = {}
-    marked = any(article for _, article, _ in clear or below)
     for paths, share in ((clear, 1.0), (below, NAMED)):
         if paths:
-            weight = _weights(paths)
-            if marked:
-                article = np.array([a for _, a, _ in paths])
-                weight = np.where(article, weight + ARTICLE * weight.max(), weight * ASIDE)
-            weights.update(zip(paths, share * weight))
+            weights.update(zip(paths, share * _weights(paths)))
     least = THRESHOLD * max(weights.values(), default=0)
+    if any(article for _, article, _ in weights):
+        weights = {p: w * (INSIDE if p[1] else ASIDE) for p, w in weights.items()}
     return {p for p, w in weights.items() if w >= least}
 
 

@@ -178,6 +178,54 @@ def test_prose_beats_links_without_marks():
     assert text.startswith("A sentence") and "Item" not in text
 
 
+def prose(n: int, seed: int = 3) -> str:
+    rng = random.Random(seed)
+    return ". ".join(sentence(rng, 12).replace(",", "") + ", and more" for _ in range(n)) + "."
+
+
+#: Each page is written with its main text between markers that no page has; other text is not in it.
+MARKED = [
+    # Nothing is marked: ratios alone.
+    "<div><ul>{links}</ul></div><section><h2>[[{title}]]</h2><p>[[{a}]]</p><p>[[{b}]]</p></section><div><ul>{links}</ul></div>",
+    "<table><tr><td>{links}</td><td><p>[[{a}]]</p><p>[[{b}]]</p></td></tr></table>",
+    "<center><p>[[{a}]]</p>{links}<p>[[{b}]]</p></center>",
+    # An article that holds lists of links and single words, which the ratios reject.
+    "<article><h1>[[{title}]]</h1><p>[[{a}]]</p><ul>{links}</ul><p>[[{b}]]</p></article><div>{links}</div>",
+    "<main><p>[[{a}]]</p><table><tr><td>{links}</table><div><p>[[{b}]]</p></div></main>",
+    # Part of the text stands outside the article, as heavy as that.
+    "<article><p>[[{a}]]</p></article><section><dd>[[{b}]]</dd></section><ul>{links}</ul>",
+    # A footer longer than the article is a footer.
+    "<article><h1>[[{title}]]</h1><p>[[A short one, this time.]]</p></article><footer>{b}</footer>",
+]
+
+
+def _marked() -> list[tuple[str, str]]:
+    links = "".join(f"<li><a href='/{i}'>Item {i}</a></li>" for i in range(12))
+    out = []
+    for page in MARKED:
+        page = page.format(links=links, title="What the page is about, in short", a=prose(5), b=prose(6, 4))
+        expected = "\n".join(" ".join(x.split("]]")[0].split()) for x in page.split("[[")[1:])
+        out.append((page.replace("[[", "").replace("]]", ""), expected))
+    return out
+
+
+@pytest.mark.parametrize("k", range(len(MARKED)))
+def test_text_between_markers(k):
+    """Against a reading of the markers, not of the markup."""
+    page, expected = _marked()[k]
+    assert html_text.main_text(page) == expected
+
+
+def test_ratios_decide(monkeypatch):
+    """With the ratios of other paths, most of these pages lose their text."""
+    real = html_text._weights
+    monkeypatch.setattr(html_text, "_weights", lambda paths: real(paths)[::-1])
+    changed = [html_text.main_text(page) != expected for page, expected in _marked()]
+    assert sum(changed) >= 5
+    monkeypatch.setattr(html_text, "_weights", lambda paths: np.ones(len(paths)))
+    assert sum(html_text.main_text(page) != expected for page, expected in _marked()) >= 4
+
+
 def test_many_broken_tags_take_linear_time():
     import time
 
