@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from debtlens.llm import exact_dedup, mixing, near_dedup, packing, quality
-from debtlens.llm.scratch import stored
+from debtlens.llm.scratch import begin_small_batches, end_small_batches, stored
 
 #: Near copies are texts of at least this similarity.
 NEAR_PERCENT = 80
@@ -26,11 +26,14 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the quality classifier accepts."""
+    # The caller writes the result; until the next stage begins, batches of whole texts are small.
+    begin_small_batches(spark)
     return quality.accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the one with the largest id."""
+    end_small_batches(spark)
     return exact_dedup.without_copies(docs)
 
 
