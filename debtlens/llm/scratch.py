@@ -46,6 +46,20 @@ def small_batches(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(BATCH_ROWS, before)
 
 
+def begin_small_batches(spark: SparkSession) -> None:
+    """As :func:`small_batches`, for a result that the caller writes, until :func:`end_small_batches`."""
+    if not hasattr(spark, "_usual_batch"):
+        spark._usual_batch = spark.conf.get(BATCH_ROWS)
+    spark.conf.set(BATCH_ROWS, str(BATCH))
+
+
+def end_small_batches(spark: SparkSession) -> None:
+    """The session has its own size of batches again."""
+    if hasattr(spark, "_usual_batch"):
+        spark.conf.set(BATCH_ROWS, spark._usual_batch)
+        del spark._usual_batch
+
+
 def place(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder."""
     return f"{folder(spark)}/{name}-{uuid.uuid4().hex}"
