@@ -3,7 +3,7 @@
 The filter is a row per 64-bit word: a key chooses one word and sets up to ``MARKS`` bits in it.
 Building it is one aggregation (``bit_or`` per word, combined on the map side), and applying it
 a broadcast semi-join inside the scan task: the key's word is looked up and must have all the
-key's bits. With ``BITS`` bits per key about one foreign key in 150 passes, while a word for every
+key's bits. With ``BITS`` bits per key about one foreign key in 190 passes, while a word for every
 four keys takes a fraction of the keys' own size.
 
 A filter never rejects a key that it was built from, so an exact join afterwards makes the result
