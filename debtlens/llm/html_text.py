@@ -8,7 +8,7 @@ as a bounded prior: paths below elements that name themselves as other than cont
 ``ad``, ...) lose nearly all of their weight, and where a page marks its article, paths inside count
 ``INSIDE`` times as much and paths outside ``ASIDE`` times. Content are the paths whose weight then
 reaches ``THRESHOLD`` of the heaviest without it: so the ratios decide on either side, a path inside may
-be too light (a list of links, a row of buttons) and one outside as heavy as the article.
+be too light (a list of links, a row of buttons), and one outside stays if none is heavier.
 
 A name doesn't count on an element that holds over half of the page's text outside links, unless an
 article is marked elsewhere, nor on the page's ``main`` or outermost ``article``. Where all of these are below names, they are not below
@@ -38,7 +38,7 @@ THRESHOLD = 0.1
 #: What is left of the weight of a path below a name.
 NAMED = 0.005
 #: Where a page marks its article: what the weights of paths inside and outside are multiplied by.
-INSIDE, ASIDE = 4.0, 0.2
+INSIDE, ASIDE = 4.0, 0.1
 #: Weights of a path's neighbours in smoothing, a bell over two on either side.
 BELL = np.array([0.06, 0.24, 0.4, 0.24, 0.06])
 

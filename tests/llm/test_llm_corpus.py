@@ -192,7 +192,7 @@ MARKED = [
     # An article that holds lists of links and single words, which the ratios reject.
     "<article><h1>[[{title}]]</h1><p>[[{a}]]</p><ul>{links}</ul><p>[[{b}]]</p></article><div>{links}</div>",
     "<main><p>[[{a}]]</p><table><tr><td>{links}</table><div><p>[[{b}]]</p></div></main>",
-    # Part of the text stands outside the article, as heavy as that.
+    # Part of the text stands outside the article, heavier than that.
     "<article><p>[[{a}]]</p></article><section><dd>[[{b}]]</dd></section><ul>{links}</ul>",
     # A footer longer than the article is a footer.
     "<article><h1>[[{title}]]</h1><p>[[A short one, this time.]]</p></article><footer>{b}</footer>",

@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from messy import edited, frame, sentence
 from pyspark.sql import functions as F
-from test_llm_dedup import distance, near, normal
+from test_llm_dedup import near, normal, similar
 
 from debtlens.llm import html_text, line_dedup, mixing, near_dedup
 
@@ -23,12 +23,12 @@ def test_similar_lines_go_whatever_their_simhash(spark):
         copy[rng.randrange(len(copy))] = rng.choice(stems)
         data += [(i, " ".join(line), None, None, None), (1000 + i, " ".join(copy), None, None, None)]
         a, b = normal(" ".join(line)), normal(" ".join(copy))
-        copies[1000 + i] = 10 * distance(a, b) <= max(len(a), len(b))
+        copies[1000 + i] = similar(a, b)
     left = dict(line_dedup.report(frame(spark, data)).select("doc_id", "text").collect())
-    similar = [i for i, close in copies.items() if close]
-    assert len(similar) >= 50
-    assert sum(left[i] == "" for i in similar) >= 0.9 * len(similar)
-    assert all(left[i] == text for i, text, *_ in data if i not in similar)
+    close = [i for i, one in copies.items() if one]
+    assert len(close) >= 50
+    assert sum(left[i] == "" for i in close) >= 0.9 * len(close)
+    assert all(left[i] == text for i, text, *_ in data if i not in close)
 
 
 def test_the_stage_drops_near_copies_from_a_similarity_of_80_percent(spark):
