@@ -1,11 +1,13 @@
 """Quality rules as a short-circuit cascade, in built-in functions alone.
 
 Base figures are computed for every text; texts that fail the base conditions are rejected. The
-others meet ``RULES`` one after another until one rejects them, which is one CASE expression: no
-later rule is evaluated. The order is chosen on a sample of at most ``SAMPLE`` rows. Each rule's
-cost is its time there and its selectivity what it rejects of the rows that the rules before it
-left; the next rule is always the one that rejects most per cost. A text is kept if no rule
-rejects it, so the order changes the time and never the result.
+others meet :func:`rules` one after another until one rejects them, which is one CASE expression:
+no later rule is evaluated. The order is chosen on a sample of about ``SAMPLE`` rows from all over
+the table. Each rule's cost is its work there, counted and not timed: one comparison, and for a
+pattern the characters it reads and the matches it stops at. Its selectivity is what it rejects.
+Both are those of the rows that the rules before it left; the next rule is always the one that
+rejects most per cost. A text is kept if no rule rejects it, so the order changes the time and
+never the result.
 
 Defined results. Null text has no words and no lines. A word is a run of characters other than
 space and 0x09-0x0D. Windows of five words are compared by 64-bit hashes. Only doc_id and text
@@ -14,9 +16,10 @@ are read; an empty table gives an empty result, with the rules in their written
 
 from __future__ import annotations
 
-import time
+import math
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +29,11 @@ SPACE = r"[\x20\x09-\x0D]+"
 WINDOW = 5
 #: Rows on which costs and selectivities are estimated; they decide the order of rules only.
 SAMPLE = 1000
+#: A table of more files is sampled in about this many of them, spread by a hash of their paths.
+FILES = 32
+
+#: The patterns whose matches some rules count in the text.
+PATTERNS = {"capitals": r"\p{Lu}", "exclamations": "!", "letters": r"\p{L}"}
 
 
 def _count(pattern: str) -> Column:
@@ -38,9 +46,9 @@ def rules() -> dict[str, Column]:
         "symbols": 100 * F.col("n_symbols") > 20 * F.col("n_words"),
         "duplicate_lines": (F.col("n_dup_lines") >= 3) & (100 * F.col("n_dup_lines") > 30 * F.col("n_lines")),
         "word_length": (F.col("word_chars") < 2 * F.col("n_words")) | (F.col("word_chars") > 20 * F.col("n_words")),
-        "capitals": 100 * _count(r"\p{Lu}") > 40 * F.col("word_chars"),
-        "exclamations": 100 * _count("!") > 50 * F.col("n_words"),
-        "letters": 100 * _count(r"\p{L}") < 50 * F.col("word_chars"),
+        "capitals": 100 * _count(PATTERNS["capitals"]) > 40 * F.col("word_chars"),
+        "exclamations": 100 * _count(PATTERNS["exclamations"]) > 50 * F.col("n_words"),
+        "letters": 100 * _count(PATTERNS["letters"]) < 50 * F.col("word_chars"),
     }
 
 
@@ -90,27 +98,45 @@ def figures(docs: DataFrame) -> DataFrame:
     return df.withColumn("base_failed", failed)
 
 
-def ordered(docs: DataFrame, sample: int = SAMPLE) -> list[str]:
-    """The rules, the one that rejects most per cost first."""
-    every = rules()
-    rows = stored(figures(docs.limit(sample)), "rules_sample").where("NOT base_failed")
+def work(name: str) -> Column:
+    """What a rule costs on a row: a comparison, the characters its pattern reads and its matches."""
+    if name not in PATTERNS:
+        return F.lit(1).cast("long")
+    return (1 + F.length("t") + _count(PATTERNS[name])).cast("long")
+
+
+def spread(docs: DataFrame, rows: int) -> DataFrame:
+    """About ``rows`` rows from all over ``docs``; of a table of many files, only some are read."""
+    files = len(docs.inputFiles())
+    if files > FILES:
+        path = F.xxhash64(F.col("_metadata.file_path"))
+        try:
+            docs = docs.where(F.pmod(path, F.lit(math.ceil(files / FILES))) == 0)
+        except AnalysisException:  # not the rows of files as they are: all of them are read
+            pass
+    total = docs.count()
+    return docs if total <= rows else docs.sample(fraction=rows / total, seed=1)
 
-    def seconds(*measured: Column) -> float:
-        start = time.perf_counter()
-        rows.agg(*(F.sum(m.cast("int")) for m in measured or (F.lit(True),)), F.sum(F.length("t"))).first()
-        return time.perf_counter() - start
 
-    seconds()
-    least = min(seconds() for _ in range(2))
-    costs = {name: max(1e-3, min(seconds(rule) for _ in range(2)) - least) for name, rule in every.items()}
+def ordered(docs: DataFrame, sample: int = SAMPLE) -> list[str]:
+    """The rules, the one that rejects most per cost first; of equals the cheapest, then as written."""
+    every = rules()
+    rows = stored(figures(spread(docs, sample)), "rules_sample").where("NOT base_failed")
     # At most a row for each combination of verdicts.
-    found = rows.groupBy(*(rule.alias(name) for name, rule in every.items())).count().collect()
+    left = (
+        rows.groupBy(*(rule.alias(name) for name, rule in every.items()))
+        .agg(F.count(F.lit(1)).alias("rows"), *(F.sum(work(name)).alias(f"work_{name}") for name in every))
+        .collect()
+    )
     order: list[str] = []
-    while left := [name for name in every if name not in order]:
-        rejects = {
-            name: sum(r["count"] for r in found if r[name] and not any(r[before] for before in order)) for name in left
-        }
-        order.append(max(left, key=lambda name: (rejects[name] / costs[name], -costs[name])))
+    while len(order) < len(every):
+
+        def worth(name: str) -> tuple[float, int]:
+            cost = sum(r[f"work_{name}"] for r in left)
+            return (sum(r["rows"] for r in left if r[name]) / max(cost, 1), -cost)
+
+        order.append(max((name for name in every if name not in order), key=worth))
+        left = [r for r in left if not r[order[-1]]]
     return order
 
 

@@ -1,5 +1,6 @@
 """Classifier, rules, extraction, mixing and the pipeline."""
 
+import itertools
 import math
 import random
 import zlib
@@ -48,6 +49,76 @@ def test_classifier_on_held_out_rows(spark):
     assert sum(r["predicted"] == truth[r["doc_id"]] for r in held) >= 0.97 * len(held)
 
 
+def shape(word):
+    """Runs of one kind of byte as one byte."""
+    kinds = ["A" if 65 <= c < 91 else "a" if 97 <= c < 123 else "0" if 48 <= c < 58 else "x" if c > 127 else chr(c) for c in word.encode()]
+    return "".join(k for k, _ in itertools.groupby(kinds))
+
+
+def ngrams(text):
+    """(n-gram, the least text that has it, its place among that text's n-grams)."""
+    before = None
+    for word in words(text):
+        pair, at = (word, 0) if before is None else (f"{before} {word}", 5)
+        yield ("word", word), word, 0
+        yield ("shape", shape(word)), word, 1
+        yield ("pair", before, word), pair, at + 2
+        yield ("shapes", before and shape(before), shape(word)), pair, at + 3
+        yield ("again", before == word), pair, at + 4
+        before = word
+
+
+def test_scores_by_a_dictionary_of_ngrams(spark):
+    """Training and scores once more, one n-gram after another, weights held in dictionaries."""
+    docs, labels = corpus(150, seed=4)
+    docs += [(1000, None, None, None, None), (1001, "Zwölf Größen, 12 x 3!", None, None, None)]
+    known, rows_of = {}, {}
+    for doc_id, text, *_ in docs:
+        counted = Counter()
+        for gram, least, at in ngrams(text or ""):
+            if gram not in known:
+                known[gram] = int(quality.features(pa.array([least.encode()]))[0][at])
+            counted[known[gram]] += 1
+        rows_of[doc_id] = {k: quality.SCALE * n / sum(counted.values()) for k, n in counted.items()}
+    places = {
+        r["doc_id"]: r["place"]
+        for r in spark.createDataFrame([(i,) for i, *_ in labels], "doc_id long").selectExpr("doc_id", "xxhash64(doc_id) AS place").collect()
+    }
+    shards = defaultdict(list)
+    for doc_id, label, _ in labels:
+        if zlib.crc32(str(doc_id).encode()) % 4 != 2:
+            shards[places[doc_id] % quality.SHARDS].append((places[doc_id], label, doc_id))
+
+    def weight(z, n, k):
+        root = math.sqrt(n.get(k, 0.0))
+        shrunk = math.copysign(max(abs(z.get(k, 0.0)) - quality.L1, 0), z.get(k, 0.0))
+        return -shrunk / ((quality.BETA + root) / quality.ALPHA + quality.L2)
+
+    def chance(z, n, row):
+        margin = sum(weight(z, n, k) * x for k, x in row.items()) + weight(z, n, "bias")
+        return 1 / (1 + math.exp(-margin))
+
+    z, n = {}, {}
+    for _ in range(quality.ROUNDS):
+        after = []
+        for held in shards.values():
+            own_z, own_n = dict(z), dict(n)
+            for _, label, doc_id in sorted(held):
+                error = chance(own_z, own_n, rows_of[doc_id]) - label
+                step = {k: (error * x, weight(own_z, own_n, k)) for k, x in [*rows_of[doc_id].items(), ("bias", 1.0)]}
+                for k, (slope, w) in step.items():
+                    was = own_n.get(k, 0.0)
+                    own_n[k] = was + slope * slope
+                    own_z[k] = own_z.get(k, 0.0) + slope - (math.sqrt(own_n[k]) - math.sqrt(was)) / quality.ALPHA * w
+            after.append((own_z, own_n))
+        z, n = ({k: sum(s[part].get(k, 0.0) for s in after) / len(after) for k in {k for s in after for k in s[part]}} for part in (0, 1))
+    found = quality.report(frame(spark, docs), spark.createDataFrame(labels, LABELS)).collect()
+    assert len(found) == len(docs)
+    for r in found:
+        assert abs(r["score"] - chance(z, n, rows_of[r["doc_id"]])) < 1e-4
+    assert len({round(r["score"], 3) for r in found}) > 20  # they tell texts apart
+
+
 def test_held_out_labels_are_not_read(spark):
     docs, labels = corpus(200)
     lies = [(i, 1 - q if zlib.crc32(str(i).encode()) % 4 == 2 else q, t) for i, q, t in labels]
@@ -134,14 +205,54 @@ def test_rules(spark):
 
 
 def test_order_of_rules(spark):
+    import regex
+
     rng = random.Random(9)
     junk = "".join(f" *{k}#" for k in range(30))
     data = [(i, sentence(rng, 30) + (junk if i % 2 else ""), None, None, None) for i in range(60)]
-    order = rules.ordered(frame(spark, data, clashes=False))
-    assert sorted(order) == sorted(rules.rules()) and order[0] == "symbols"
+    data += [(100 + i, sentence(rng, 12).upper(), None, None, None) for i in range(20)]
+    data += [(200 + i, " ".join("12345" for _ in range(11 + i)) + sentence(rng, 3), None, None, None) for i in range(7)]
+    data += [(300 + i, " ".join(w + "!" for w in words(sentence(rng, 15))), None, None, None) for i in range(5)]
+    names = ["symbols", "duplicate_lines", "word_length", "capitals", "exclamations", "letters"]
+    left = []
+    for _, text, *_ in data:
+        n, chars, symbols, dup, repeat, lines = figures(text)
+        if n < 10 or 100 * repeat > 20 * n:
+            continue
+        found = [len(regex.findall(p, text)) for p in (r"\p{Lu}", "!", r"\p{L}")]
+        bad = [100 * symbols > 20 * n, dup >= 3 and 100 * dup > 30 * lines, chars < 2 * n or chars > 20 * n]
+        bad += [100 * found[0] > 40 * chars, 100 * found[1] > 50 * n, 100 * found[2] < 50 * chars]
+        left.append((bad, [1, 1, 1, *(1 + len(text) + f for f in found)]))
+    expected = []
+    for _ in names:
+        gains = {}
+        for k in (k for k in range(6) if names[k] not in expected):
+            cost = sum(w[k] for _, w in left)
+            gains[k] = (sum(b[k] for b, _ in left) / max(cost, 1), -cost, -k)
+        best = max(gains, key=gains.get)
+        expected.append(names[best])
+        left = [(b, w) for b, w in left if not b[best]]
+    df = frame(spark, data, clashes=False)
+    assert rules.ordered(df) == rules.ordered(df.repartition(3)) == expected
+    assert expected[0] == "symbols" and expected[3:] != names[3:]
     assert rules.report(frame(spark, [], DOCS)).collect() == []
 
 
+def test_sample_of_rules_is_spread(spark, tmp_path):
+    df = spark.range(20_000).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    df.repartition(100).write.parquet(str(tmp_path / "many"))
+    docs = spark.read.parquet(str(tmp_path / "many"))
+    found = rules.spread(docs, 1000).select("doc_id", "_metadata.file_path").collect()
+    files = {r["file_path"] for r in found}
+    assert 700 < len(found) < 1300 and 10 < len(files) < 70
+    some = rules.spread(docs.select("text", "doc_id").distinct(), 1000).collect()
+    assert 700 < len(some) < 1300
+    # In one file, rows from its whole length.
+    df.coalesce(1).write.parquet(str(tmp_path / "one"))
+    ids = sorted(r["doc_id"] for r in rules.spread(spark.read.parquet(str(tmp_path / "one")), 500).collect())
+    assert ids[0] < 1000 and ids[-1] > 19_000 and 350 < len(ids) < 650
+
+
 # --- extraction -------------------------------------------------------------------------
 
 PAGES = {
