@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from debtlens.llm.hot import join_counted
-from debtlens.llm.scratch import stored
+from debtlens.llm.scratch import stored, tidy
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -114,3 +114,4 @@ def linked(
         # Hubs have met every node after them; buckets that weren't mixed are done.
         rows = join_counted(rows, last, "bucket", "many", "node").where(order > F.col("last")).select("bucket", "node", "rank", *extra)
         hubs, done = hubs * growth, done + 1
+        tidy(rows.sparkSession)

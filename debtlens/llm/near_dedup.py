@@ -42,7 +42,7 @@ from debtlens.llm import words as W
 from debtlens.llm.graph import components as linked_by
 from debtlens.llm.graph import linked
 from debtlens.llm.hot import join_counted
-from debtlens.llm.scratch import stored
+from debtlens.llm.scratch import stored, tidy
 from debtlens.llm.ship import ship
 
 WIDTH = 5
@@ -174,6 +174,7 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", perc
         plain.join(wanted, "doc_id", "left_semi").mapInArrow(_full, "node long, shingles array<long>").dropDuplicates(["node"]),
         "near_sets",
     )
+    tidy(docs.sparkSession)
 
     def confirmed(edges: DataFrame) -> DataFrame:
         """Edges whose full sets are similar enough; the small set moves to the hub's."""

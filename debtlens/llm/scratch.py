@@ -90,5 +90,14 @@ def bucketed(df: DataFrame, name: str, buckets: int, key: str) -> DataFrame:
     return rows
 
 
+def tidy(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files, broadcasts and plans that finished jobs left behind.
+
+    Its cleaner acts on what the driver's garbage collector found unused, by itself every half
+    hour; many small jobs in a row fill the driver's memory sooner.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
