@@ -14,7 +14,7 @@ too high by at most 0.27 / one_in of the rows, so that every frequent value is a
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -39,6 +39,11 @@ class Measure:
     text_bytes: int
     frequent: dict[str, Found]
 
+    def over(self, one_in: int) -> Measure:
+        """The same, with the values that hold over ``1/one_in`` of the rows, a larger share than measured."""
+        kept = {k: [(v, n) for v, n in found if n * one_in > self.rows] for k, found in self.frequent.items()}
+        return replace(self, frequent=kept)
+
 
 def _summary(name: str, df: DataFrame, keys: Sequence[str], one_in: int) -> DataFrame:
     texts = [c for c, kind in df.dtypes if kind == "string"]

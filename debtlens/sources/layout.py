@@ -21,11 +21,16 @@ from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from debtlens.operators import measure, salts_of
+from debtlens.operators.measuring import HOT_KEYS
 from debtlens.sources.ledger import Ledger
 from debtlens.sources.relations import RELATIONS
 
 #: A key is too large for a bucket if it alone holds as many rows as this many buckets on average.
 MOST_BUCKETS = 8
+#: Rows of the largest relation in a bucket, where the writer chooses the number of buckets: few enough
+#: that a task sorts its buckets of all relations in memory.
+BUCKET_ROWS = 500_000
+LEAST_BUCKETS = 8
 #: Relations with one part per day, pruned by a report to the day it asks for.
 DAILY = {"mv_ktb_day": "snapshot_date"}
 
@@ -38,10 +43,16 @@ class Stored:
     hot: tuple[str | None, ...] = ()
 
 
+def buckets_for(rows: int, most_buckets: int = MOST_BUCKETS) -> int:
+    """Buckets for a ledger whose largest relation has so many rows: as many as the rows ask for, up to
+    where a key too large for a bucket could hold less than the least share that is measured."""
+    return min(max(LEAST_BUCKETS, -(-rows // BUCKET_ROWS)), HOT_KEYS * most_buckets)
+
+
 def write_ledger(
     ledger: Ledger,
     namespace: str,
-    buckets: int,
+    buckets: int | None,
     location: str | None = None,
     names: Iterable[str] = tuple(RELATIONS),
     daily: bool = True,
@@ -49,24 +60,32 @@ def write_ledger(
 ) -> dict[str, Stored]:
     """Write relations of ``ledger`` as tables of the catalog's ``namespace``, replacing those there.
 
-    ``buckets`` should make a bucket of the largest fact a few hundred MB; all relations get the same
-    number, as only equal numbers join without a shuffle. ``location`` is a folder for the files,
-    else they are the catalog's own. ``daily`` keeps daily relations in parts by day. Reports
+    ``buckets`` should make a bucket of the largest fact a few hundred MB, and None chooses by its rows;
+    all relations get the same number, as only equal numbers join without a shuffle. ``location`` is a
+    folder for the files, else they are the catalog's own. ``daily`` keeps daily relations in parts by day. Reports
     read the result by ``Ledger.at(spark, namespace)``. The ledger must not be the one replaced.
     """
     names = list(names)
     frames = {n: ledger[n] for n in names}
     spark = next(iter(frames.values())).sparkSession
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {namespace}")
-    out = {}
+    # One measuring job for all, of the keys alone; few buckets can hold any key.
+    keys = {n: (frames[n].select(RELATIONS[n].key), [RELATIONS[n].key]) for n in names}
+    sizes = {}
+    if buckets is None:
+        sizes = measure(keys)
+        buckets = buckets_for(max(s.rows for s in sizes.values()), most_buckets)
     one_in = max(2, buckets // most_buckets)
-    # One measuring job for all; few buckets can hold any key.
-    keys = {n: [RELATIONS[n].key] for n in names if buckets > most_buckets}
-    sizes = measure({n: (frames[n], k) for n, k in keys.items()}, one_in) if keys else {}
+    if buckets <= most_buckets:
+        sizes = {}
+    elif not sizes:
+        sizes = measure(keys, one_in)
+    out = {}
     for name, df in frames.items():
         key = RELATIONS[name].key
-        hot = salts_of(df, sizes[name], [key], one_in)[key] if name in sizes else None
-        values = tuple(v for v, _ in sizes[name].frequent[key]) if hot else ()
+        size = sizes[name].over(one_in) if name in sizes else None
+        hot = salts_of(df, size, [key], one_in)[key] if size else None
+        values = tuple(v for v, _ in size.frequent[key]) if hot else ()
         path, day = location and f"{location}/{name}", DAILY.get(name) if daily else None
         if hot is None:
             # Bucket numbers are the shuffle's own hash: dealt so, every task holds one bucket.

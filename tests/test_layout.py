@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from books import AS_OF, SNAPSHOT, books
 from debtlens import measures as m
+from debtlens.operators import Measure
 from debtlens.plans import audit_missing, contract_list, debt_report
-from debtlens.sources import RELATIONS, Ledger, Stored, normalize, write_ledger
+from debtlens.sources import RELATIONS, Ledger, Stored, layout, normalize, write_ledger
 
 BUCKETS = 4
 
@@ -94,3 +95,32 @@ def test_a_layout_replaces_the_one_before(spark, tmp_path):
     for k, one in enumerate(rows):
         write_ledger(Ledger.of({"dms_log_cal": one}), "again", 2, f"{tmp_path}/{k}", ["dms_log_cal"])
     assert [r["acc_no"] for r in Ledger.at(spark, "again")["dms_log_cal"].collect()] == ["y"]
+
+
+def test_buckets_grow_with_the_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(layout, "BUCKET_ROWS", 100)
+    n = 3000
+    account = F.concat(F.lit("a"), "id").alias("acc_no")
+    even = spark.range(n).select(account, F.lit("N").alias("restructure_flag"))
+    log = spark.range(n).select(
+        F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("a"), "id")).alias("acc_no"),
+        F.lit("2020-01-01").alias("cal_date"),
+    )
+    frames = {"dms_log_cal": normalize(log, "dms_log_cal"), "dms_trn_input_for_recal": normalize(even, "dms_trn_input_for_recal")}
+    found = write_ledger(Ledger.of(frames), "grown", None, str(tmp_path), frames)
+    assert found == {"dms_log_cal": Stored(0, ("hot",)), "dms_trn_input_for_recal": Stored(n // 100)}
+    for name, df in frames.items():
+        assert Counter(Ledger.at(spark, "grown")[name].collect()) == Counter(df.collect())
+
+
+def test_small_and_huge_ledgers_have_bounded_buckets():
+    assert layout.buckets_for(0) == layout.buckets_for(8 * layout.BUCKET_ROWS) == 8
+    assert layout.buckets_for(8 * layout.BUCKET_ROWS + 1) == 9
+    assert layout.buckets_for(10**12) == 8000
+
+
+def test_values_that_hold_a_larger_share():
+    found = Measure(100, 0, {"k": [("a", 50), (None, 10)], "l": []})
+    assert found.over(2).frequent == {"k": [], "l": []}
+    assert found.over(3).frequent == {"k": [("a", 50)], "l": []}
+    assert found.over(11).frequent == found.frequent
