@@ -2,14 +2,17 @@
 
 An order plays the account, a customer the person, line items the bills, plan rows and
 ledger entries, and nations the banks. Each relation is one SELECT that Spark and DuckDB
-read the same way, so that both engines see the same ledger; nothing here is under test.
+read the same way, so that both engines see the same ledger; nothing here is under test. Spark
+takes some sums of one by another expression of the same value.
 """
 
 from __future__ import annotations
 
 import datetime
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 from functools import reduce
+from types import MappingProxyType
 
 from pyspark.sql import DataFrame
 
@@ -27,20 +30,29 @@ class Derivation:
     columns: dict[str, str]
     where: str = "TRUE"
     group_by: str = ""
+    # Of some columns, what Spark computes the same values by in less time.
+    faster: dict[str, str] = field(default_factory=dict)
 
-    def sql(self, source: str) -> str:
-        columns = ", ".join(f"{e} AS {c}" for c, e in self.columns.items())
+    def sql(self, source: str, changed: Mapping[str, str] = MappingProxyType({})) -> str:
+        columns = ", ".join(f"{e} AS {c}" for c, e in {**self.columns, **changed}.items())
         grouped = f" GROUP BY {self.group_by}" if self.group_by else ""
         return f"SELECT {columns} FROM {source} WHERE {self.where}{grouped}"
 
     def frame(self, t: Tables) -> DataFrame:
-        return t.spark.sql(self.sql("{source}"), source=getattr(t, self.table))
+        return t.spark.sql(self.sql("{source}", self.faster), source=getattr(t, self.table))
 
 
 def amount(expression: str) -> str:
     return f"CAST({expression} AS DECIMAL(18,2))"
 
 
+def cents_summed(expression: str) -> str:
+    """The sum of amounts, taken in whole cents: an aggregation holds a 64-bit sum in place, where one
+    of DECIMAL(28,2) is made anew for every row and is twice as wide in the shuffle."""
+    cents = f"SUM(CAST(({expression}) * 100 AS BIGINT))"
+    return amount(f"CAST({cents} AS DECIMAL(19,0)) * 0.01BD")
+
+
 def text(expression: str) -> str:
     return f"CAST({expression} AS STRING)"
 
@@ -141,6 +153,12 @@ DERIVATIONS: dict[str, list[Derivation]] = {
                 "carry_fine": f"MAX({R_TAX})",
             },
             group_by=f"l_orderkey, {LINE_VERSION}",
+            faster={
+                "capital_remain": cents_summed(PRICE),
+                "accrued_installment": cents_summed(OPEN_PRICE),
+                "accrued_interest": cents_summed(A_QUANTITY),
+                "accrued_fine": cents_summed(N_DISCOUNT),
+            },
         )
     ],
     "account_statement": [
