@@ -5,6 +5,8 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -261,6 +263,60 @@ def test_recall_of_edited_lines(spark):
     assert pairs > 150 and sum(r["n_removed"] for r in found) >= 0.9 * pairs
 
 
+@pytest.mark.parametrize("neighbours", [1 << 12, 2])
+def test_only_lines_near_another_one_leave_their_buckets(monkeypatch, neighbours):
+    """The sieve of one block against all pairs; buckets with too many neighbours go on whole."""
+    monkeypatch.setattr(line_dedup, "NEIGHBOURS", neighbours)
+    rng = np.random.default_rng(3)
+    n = 1500
+    simhash = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+    simhash[500:1000] = simhash[:500] ^ (np.uint64(1) << rng.integers(0, 64, 500, dtype=np.uint64))
+    simhash[1000:1040] = simhash[0] ^ (np.uint64(1) << rng.integers(20, 60, 40, dtype=np.uint64))
+    words = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+    words[500:800] = words[:300]
+    words[1000:1040] = words[0]
+    size = rng.choice([30, 100, 128, 140, 141, 142, 500], n).astype(np.int32)
+    size[600:1000] = size[100:500]
+    nodes = pa.record_batch([pa.array(np.arange(n)), pa.array(simhash.view(np.int64)), pa.array(words.view(np.int64)), pa.array(size)], names=["node", "simhash", "words", "size"])
+    dealt = pa.Table.from_batches(line_dedup._dealer(3)(iter([nodes.slice(0, 700), nodes.slice(700)])))
+    found = set()
+    for block in range(8):
+        for slot in range(3):
+            own = dealt.filter(pc.and_(pc.equal(dealt["block"], block), pc.equal(dealt["slot"], slot)))
+            if len(own):
+                kept = line_dedup._sieved(own)
+                found |= set(zip((kept["bucket"].to_numpy() % 512).tolist(), kept["node"].to_pylist()))
+    expected = set()
+    for a in range(n):
+        differ = simhash ^ simhash[a]
+        agree = np.array([line_dedup._block(differ, k) == 0 for k in range(9)])
+        near = (np.bitwise_count(differ) <= line_dedup.BITS) & (100 * np.minimum(size, size[a]) >= 90 * np.maximum(size, size[a]))
+        near &= (np.minimum(size, size[a]) < line_dedup.LONG) | (np.bitwise_count(words ^ words[a]) <= line_dedup.WORD_BITS)
+        for b in np.flatnonzero(near & (agree.sum(axis=0) >= 2)).tolist():
+            if a != b:
+                i, j = np.flatnonzero(agree[:, b])[:2].tolist()
+                expected.add((1 << i | 1 << j, a))
+    assert len(expected) > 300
+    assert found == expected if neighbours > n else found > expected
+
+
+def test_unlike_lines_that_share_keys_are_not_written(spark, monkeypatch):
+    rng = random.Random(12)
+    written, stored = {}, line_dedup.stored
+
+    def counted(df, name):
+        rows = stored(df, name)
+        written[name] = written.get(name, 0) + rows.count()
+        return rows
+
+    monkeypatch.setattr(line_dedup, "stored", counted)
+    stems = ["".join(rng.choices("etaoinshrdlu", k=rng.randrange(2, 9))) for _ in range(2000)]
+    data = [(i, " ".join(rng.choices(stems, k=40)), None, None, None) for i in range(1500)]
+    data += [(2000 + i, edited(rng, data[i][1], 1), None, None, None) for i in range(20)]
+    assert sum(r["n_removed"] for r in line_dedup.report(frame(spark, data)).collect()) >= 18
+    assert 36 <= written["line_members"] <= 200  # some 7000 rows of keys are shared
+
+
 def test_line_of_no_text_at_all(spark):
     assert line_dedup.report(frame(spark, [])).collect() == []
 
