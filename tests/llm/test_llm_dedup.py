@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -12,7 +13,7 @@ from hypothesis import given
 from hypothesis import strategies as st
 from messy import DOCS, Groups, edited, frame, lower, rows, sentence, words
 
-from debtlens.llm import exact_dedup, line_dedup, near_dedup
+from debtlens.llm import edits, exact_dedup, line_dedup, near_dedup
 from debtlens.llm import words as W
 from debtlens.llm.graph import components
 
@@ -317,6 +318,107 @@ def test_unlike_lines_that_share_keys_are_not_written(spark, monkeypatch):
     assert 36 <= written["line_members"] <= 200  # some 7000 rows of keys are shared
 
 
+def distance(a: str, b: str) -> int:
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        new = [i + 1]
+        for j, y in enumerate(b):
+            new.append(min(row[j] + (x != y), row[j + 1] + 1, new[-1] + 1))
+        row = new
+    return row[-1]
+
+
+@pytest.mark.parametrize("letters", ["ab", "abcdefgh ", "aé漢😀b"])
+@pytest.mark.parametrize("percent", [10, 30, 100])
+def test_edit_distances_of_many_pairs(letters, percent):
+    rng = random.Random(5)
+    a, b = ["", "", "a"], ["", "a", ""]
+    for _ in range(150):
+        a.append("".join(rng.choices(letters, k=rng.randrange(100))))
+        other = list(a[-1])
+        for _ in range(rng.randrange(2 + len(other) * percent // 60)):
+            at = rng.randrange(len(other) + 1)
+            other[at : at + rng.randrange(2)] = rng.choices(letters, k=rng.randrange(2))
+        b.append("".join(rng.choices(letters, k=rng.randrange(100)) if rng.random() < 0.2 else other))
+    expected = [100 * distance(x, y) <= percent * max(len(x), len(y)) for x, y in zip(a, b)]
+    assert len(set(expected)) == (1 if percent == 100 else 2)
+    assert edits.within(pa.array(a), pa.array(b), percent).tolist() == expected
+
+
+@pytest.mark.parametrize("similar_share", [0, 30, 100])
+def test_rounds_test_every_near_pair_but_those_of_one_component(similar_share):
+    """Buckets whose near members are similar in all, some or no pairs; few edges a member and round."""
+    rng = np.random.default_rng(similar_share)
+    n, mask = 240, 1 << 0 | 1 << 8
+    base = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+    base[:] = base[np.arange(n) // 80]  # three buckets of 80, all members of one near each other
+    at = np.array([first for first, _ in line_dedup.BLOCKS[1:8]])
+    simhash = base.copy()
+    for i in range(n):  # a bit in each of the seven blocks that don't make the key
+        simhash[i] ^= np.bitwise_or.reduce(np.uint64(1) << (at + rng.integers(0, 7, 7)).astype(np.uint64)) if i % 80 % 8 else np.uint64(0)
+    bucket = (np.arange(n) // 80) << 9 | mask
+    node = rng.permutation(n)
+    size = rng.choice([100, 109, 111, 112, 130], n)
+    pairs, expected = {}, set()
+    for i in range(n):
+        for j in range(i):
+            differ = simhash[i] ^ simhash[j]
+            agree = sum(int(line_dedup._block(differ, k) == 0) << k for k in range(9))
+            two = sorted(k for k in range(9) if agree >> k & 1)[:2]
+            near = bucket[i] == bucket[j] and np.bitwise_count(differ) <= line_dedup.BITS and two == [0, 8]
+            if near and 100 * min(size[i], size[j]) >= 90 * max(size[i], size[j]):
+                pair = (int(min(node[i], node[j])), int(max(node[i], node[j])))
+                pairs[pair] = (pair[0] * 7 + pair[1] * 13) % 100 < similar_share
+    parent = list(range(n))
+
+    def root(x):
+        return x if parent[x] == x else root(parent[x])
+
+    for (i, j), alike in pairs.items():
+        if alike:
+            parent[root(i)] = root(j)
+    expected = [root(x) for x in range(n)]
+    parent, tested, rounds = list(range(n)), set(), 0
+    table = pa.table({"bucket": bucket, "node": node, "simhash": simhash.view(np.int64), "words": np.zeros(n, np.int64), "size": size.astype(np.int32), "reach": np.zeros(n, np.int64)})
+    while len(table):
+        edges = line_dedup.EDGES[min(rounds, 2)]
+        labelled = table.append_column("component", pa.array([root(x) for x in table["node"].to_pylist()], pa.int64()))
+        given = line_dedup._offered(edges)(labelled)
+        offered = {(r["node"], r["other"]) for r in given.filter(pc.is_valid(given["other"])).to_pylist()}
+        # Both members of a pair at one distance may give it, and each looks both ways at once.
+        assert offered <= set(pairs) and len(offered) <= (edges + 1) * len(table)
+        for i, j in offered:
+            if pairs[i, j]:
+                parent[root(i)] = root(j)
+        tested |= offered
+        table = given.filter(pc.is_null(given["other"])).drop_columns("other")
+        rounds += 1
+        assert rounds < 20
+    assert len(pairs) > 300
+    assert [root(x) == root(y) for x in range(n) for y in range(x)] == [expected[x] == expected[y] for x in range(n) for y in range(x)]
+    assert all(p in tested or root(p[0]) == root(p[1]) for p in pairs)
+    assert similar_share < 100 or len(tested) <= 3 * n  # not the square of a group's size
+
+
+def test_links_do_not_join_members_of_a_bucket_to_each_other(spark, monkeypatch):
+    """No bucket is joined to itself, however many of its lines are near and unlike."""
+    written, stored = {}, line_dedup.stored
+
+    def counted(df, name):
+        plan = df._jdf.queryExecution().toString()
+        assert not re.search(r"Join.*bucket", plan), name
+        rows = stored(df, name)
+        written.setdefault(name, []).append(rows.count())
+        return rows
+
+    monkeypatch.setattr(line_dedup, "stored", counted)
+    rng = random.Random(14)
+    line = sentence(rng, 60)
+    data = [(i, edited(rng, line, 1) if i else line, None, None, None) for i in range(120)]
+    assert sum(r["n_removed"] for r in line_dedup.report(frame(spark, data)).collect()) >= 108
+    assert written["line_edges"] and written["line_edges"][0] <= 3 * written["line_members"][0]
+
+
 def test_line_of_no_text_at_all(spark):
     assert line_dedup.report(frame(spark, [])).collect() == []
 
